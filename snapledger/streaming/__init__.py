@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch only, one full snapshot per run date."""
