@@ -20,16 +20,20 @@ def make_point(lon: Column, lat: Column) -> Column:
     )
 
 
-def polygon_from_geojson(text: Column) -> Column:
-    """Parse a Polygon or MultiPolygon geometry. Anything else, and text that does
-    not parse, is NULL; the declared not_null checks report those rows."""
+def polygon_from_geojson(text: Column, strict: bool = False) -> Column:
+    """Parse a Polygon or MultiPolygon geometry. Any other text is NULL or, with
+    ``strict``, an error."""
     kind = F.get_json_object(text, "$.type")
     coordinates = F.get_json_object(text, "$.coordinates")
     one_or_more = F.when(
         kind == "Polygon", F.concat(F.lit("["), coordinates, F.lit("]"))
     ).when(kind == "MultiPolygon", coordinates)
     parts = F.from_json(one_or_more, PARTS_SCHEMA)
-    return F.when(_is_complete(parts), F.struct(kind.alias("type"), parts.alias("parts")))
+    parsed = F.when(_is_complete(parts), F.struct(kind.alias("type"), parts.alias("parts")))
+    if not strict:
+        return parsed
+    message = F.concat(F.lit("no polygon in GeoJSON: "), F.substring(text, 1, 200))
+    return F.when(text.isNotNull(), F.coalesce(parsed, F.raise_error(message)))
 
 
 def _is_complete(parts: Column) -> Column:
