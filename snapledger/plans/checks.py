@@ -80,29 +80,31 @@ class ChecksFailed(RuntimeError):
 def report(frames: dict[str, DataFrame], checks: list[Check] = ALL_CHECKS) -> DataFrame:
     """``model, check, column, failures`` for every check whose model is given.
 
-    All not_null checks of a model share one pass that returns a single row; the
-    other checks group or join on the checked column alone, and return one number.
+    A column declared unique and not_null is grouped once for both. All other
+    not_null checks of a model share one pass that returns a single row, and the
+    remaining checks group or join on the checked column alone.
     """
     checks = [c for c in checks if c.model in frames]
-    parts = []
+    unique = {(c.model, c.column) for c in checks if c.kind == "unique"}
+    required = {(c.model, c.column) for c in checks if c.kind == "not_null"}
+    parts = [_key_counts(frames[m], m, column) for m, column in sorted(unique & required)]
     for model in dict.fromkeys(c.model for c in checks):
-        required = [c.column for c in checks if c.model == model and c.kind == "not_null"]
-        if required:
-            parts.append(_null_counts(frames[model], model, required))
+        columns = sorted(col for m, col in required - unique if m == model)
+        if columns:
+            parts.append(_null_counts(frames[model], model, columns))
+    done = {(m, c, k) for m, c in unique & required for k in ("unique", "not_null")}
     for check in checks:
-        if check.kind != "not_null":
+        if check.kind != "not_null" and (check.model, check.column, check.kind) not in done:
             failures = violations(check, frames).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(
-                failures.select(
-                    F.lit(check.model).alias("model"),
-                    F.lit(check.kind).alias("check"),
-                    F.lit(check.column).alias("column"),
-                    "failures",
-                )
-            )
+            parts.append(_result(failures, check.model, check.kind, check.column))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _result(failures: DataFrame, model: str, kind: str, column: str) -> DataFrame:
+    labels = {"model": model, "check": kind, "column": column}
+    return failures.select(*[F.lit(v).alias(k) for k, v in labels.items()], "failures")
+
+
 def violations(check: Check, frames: dict[str, DataFrame]) -> DataFrame:
     """The violating rows or groups of one check. References are looked up within
     the same snapshot."""
@@ -119,16 +121,31 @@ def violations(check: Check, frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def _null_counts(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    counts = df.agg(
+    counts = [
+        F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("failures"))
+        for c in columns
+    ]
+    rows = df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+    return rows.select(
+        F.lit(model).alias("model"), F.lit("not_null").alias("check"), "column", "failures"
+    )
+
+
+def _key_counts(df: DataFrame, model: str, column: str) -> DataFrame:
+    """Rows without a value, and values held by several rows."""
+    missing, repeated = F.col("v").isNull(), F.col("v").isNotNull() & (F.col("n") > 1)
+    groups = df.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = groups.agg(
         F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("failures"))
-                for c in columns
-            ]
+            F.struct(
+                F.lit("not_null").alias("check"),
+                F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("failures"),
+            ),
+            F.struct(F.lit("unique").alias("check"), F.count_if(repeated).alias("failures")),
         ).alias("counts")
     )
     return counts.select(F.inline("counts")).select(
-        F.lit(model).alias("model"), F.lit("not_null").alias("check"), "column", "failures"
+        F.lit(model).alias("model"), "check", F.lit(column).alias("column"), "failures"
     )
 
 
