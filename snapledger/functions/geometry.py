@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 PARTS_SCHEMA = "array<array<array<array<double>>>>"
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def make_point(lon: Column, lat: Column) -> Column:
     """NULL when either coordinate is NULL."""
     return F.when(
@@ -28,8 +33,8 @@ def polygon_from_geojson(text: Column, strict: bool = False) -> Column:
     one_or_more = F.when(
         kind == "Polygon", F.concat(F.lit("["), coordinates, F.lit("]"))
     ).when(kind == "MultiPolygon", coordinates)
-    parts = F.from_json(one_or_more, PARTS_SCHEMA)
-    parsed = F.when(_is_complete(parts), F.struct(kind.alias("type"), parts.alias("parts")))
+    found = F.struct(kind.alias("type"), F.from_json(one_or_more, PARTS_SCHEMA).alias("parts"))
+    parsed = _bind(found, lambda g: F.when(_is_complete(g["parts"]), g))
     if not strict:
         return parsed
     message = F.concat(F.lit("no polygon in GeoJSON: "), F.substring(text, 1, 200))

@@ -25,7 +25,8 @@ def left_join(
     be a large share of a fact table, so a second key spreads them by the value of
     ``spread_by`` (any column with many values); rows with a key always have 0
     there, on both sides. Hot non-NULL keys are left to adaptive execution, which
-    splits the left side of a skewed shuffle partition for this join type.
+    splits the left side of a skewed shuffle partition for this join type, given that
+    the right side is shuffled as it is: a stored table rather than an aggregate.
     """
     keys = {f"_r{i}": r for i, r in enumerate(on.values())}
     slim = right.select(

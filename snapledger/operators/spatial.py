@@ -51,45 +51,45 @@ def _touches(edge: Column, cx: Column, cy: Column, half: Column) -> Column:
 def polygon_cells(polygons: DataFrame, geometry: str, keep: list[str], cell: float) -> DataFrame:
     """Per polygon and grid cell: ``_cx, _cy``, the kept columns, and ``_edges``,
     which is empty for a cell wholly inside. No shuffle: each polygon is expanded
-    where it is read."""
+    where it is read, first into grid rows with the edges of the row, then into the
+    cells of each row. Outlines, row edges and cell edges each leave an explode, so
+    they are computed once and not again in every later expression."""
     half = F.lit(cell / 2 * (1 + MARGIN))
-    low, high = F.col("_y0") - half, F.col("_y0") + half
-    spans_row = lambda e: (
-        (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["y1"], e["y2"]) >= low)
-    )
-    xs = F.transform("_all", lambda e: F.least(e["x1"], e["x2"]))
-    xe = F.transform("_all", lambda e: F.greatest(e["x1"], e["x2"]))
-    ys = F.transform("_all", lambda e: F.least(e["y1"], e["y2"]))
-    ye = F.transform("_all", lambda e: F.greatest(e["y1"], e["y2"]))
-    outlines = (
-        polygons.select(*keep, G.polygon_edges(F.col(geometry)).alias("_all"))
-        .where(F.size("_all") > 0)
-        .select(
-            *keep,
-            "_all",
-            _cell(F.array_min(xs), cell).alias("_cx0"),
-            _cell(F.array_max(xe), cell).alias("_cx1"),
-            F.explode(
-                F.sequence(_cell(F.array_min(ys), cell), _cell(F.array_max(ye), cell))
-            ).alias("_cy"),
-        )
+
+    def reach(edges: str, pick, a: str, b: str, total) -> Column:
+        return _cell(total(F.transform(edges, lambda e: pick(e[a], e[b]))), cell)
+
+    outlines = polygons.select(
+        *keep, F.explode(F.array(G.polygon_edges(F.col(geometry)))).alias("_outline")
     )
-    rows = (
-        outlines.withColumn("_y0", (F.col("_cy") + 0.5) * cell)
-        .withColumn("_row", F.filter("_all", spans_row))
-        .drop("_all")
+    rows = outlines.select(
+        *keep,
+        "_outline",
+        reach("_outline", F.least, "x1", "x2", F.array_min).alias("_west"),
+        reach("_outline", F.greatest, "x1", "x2", F.array_max).alias("_east"),
+        F.explode(
+            F.sequence(
+                reach("_outline", F.least, "y1", "y2", F.array_min),
+                reach("_outline", F.greatest, "y1", "y2", F.array_max),
+            )
+        ).alias("_cy"),
     )
-    cells = rows.withColumn("_cx", F.explode(F.sequence("_cx0", "_cx1"))).withColumn(
-        "_x0", (F.col("_cx") + 0.5) * cell
+    y0 = (F.col("_cy") + 0.5) * cell
+
+    def in_row(e: Column) -> Column:
+        return (F.least(e["y1"], e["y2"]) <= y0 + half) & (F.greatest(e["y1"], e["y2"]) >= y0 - half)
+
+    row_edges = rows.select(
+        *keep, "_west", "_east", "_cy", F.explode(F.array(F.filter("_outline", in_row))).alias("_row")
     )
-    x0, y0 = F.col("_x0"), F.col("_y0")
+    cells = row_edges.select(*keep, "_cy", "_row", F.explode(F.sequence("_west", "_east")).alias("_cx"))
+    x0 = (F.col("_cx") + 0.5) * cell
     border = F.exists("_row", lambda e: _touches(e, x0, y0, half))
-    reachable = F.filter("_row", lambda e: F.greatest(e["x1"], e["x2"]) >= x0 - half)
+    ahead = F.filter("_row", lambda e: F.greatest(e["x1"], e["x2"]) >= x0 - half)
     inside = G.odd_crossings(F.col("_row"), x0, y0)
-    edges = F.when(border, reachable).when(inside, F.slice("_row", 1, 0))
-    return cells.select(*keep, "_cx", "_cy", edges.alias("_edges")).where(
-        F.col("_edges").isNotNull()
-    )
+    # No array at all for a cell wholly outside: the explode leaves it out.
+    edges = F.when(border, F.array(ahead)).when(inside, F.array(F.slice("_row", 1, 0)))
+    return cells.select(*keep, "_cx", "_cy", F.explode(edges).alias("_edges"))
 
 
 def cells_bytes(cells: DataFrame) -> int:

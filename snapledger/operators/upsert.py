@@ -12,20 +12,25 @@ class DuplicateKeys(ValueError):
 
 
 def require_unique(df: DataFrame, key: str) -> None:
-    found = not_unique(df, key).limit(1).count()
-    if found:
+    """Raise if several rows share a key; a merge with such a source is undefined."""
+    if not not_unique(df, key).isEmpty():
         raise DuplicateKeys(f"several source rows share one value of {key}")
 
 
+def kept_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Target rows the source does not replace. Only the keys of the source travel;
+    a NULL key matches nothing, so such rows stay."""
+    return target.join(source.select(key), key, "left_anti").select(*target.columns)
+
+
 def upsert(target: DataFrame | None, source: DataFrame, key: str) -> DataFrame:
     """Source rows replace target rows with the same key, other source rows are
     added, target rows without a source row stay. Without a target the source is
     the first build.
 
-    Only the keys of the source take part in the join; the source itself does not
-    move. The target is read once and keeps rows whose key changed at the source.
+    The source is evaluated twice, for its rows and for its keys: hand over stored
+    rows rather than a long computation.
     """
     if target is None:
         return source
-    kept = target.join(source.select(key), key, "left_anti")
-    return source.unionByName(kept, allowMissingColumns=True)
+    return source.unionByName(kept_rows(target, source, key), allowMissingColumns=True)

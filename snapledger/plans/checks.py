@@ -97,7 +97,7 @@ def report(frames: dict[str, DataFrame], checks: list[Check] = ALL_CHECKS) -> Da
         if check.kind != "not_null" and (check.model, check.column, check.kind) not in done:
             failures = violations(check, frames).agg(F.count(F.lit(1)).alias("failures"))
             parts.append(_result(failures, check.model, check.kind, check.column))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).select(*COLUMNS)
 
 
 def _result(failures: DataFrame, model: str, kind: str, column: str) -> DataFrame:

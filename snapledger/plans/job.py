@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from snapledger import schemas
 from snapledger.operators.snapshot import current_only
+from snapledger.operators.upsert import DuplicateKeys
 from snapledger.plans import checks, refined, staging
 from snapledger.plans.marts import marts
 from snapledger.session import use_utc
@@ -53,23 +55,34 @@ def load(
     tables: incident feeds are appended, boundary sets are replaced."""
     caps = schemas.ROW_CAPS if caps is None else caps
     landing, tables_root = f"{root}/landing", f"{root}/raw"
-    for name, path in paths.items():
+    unknown = set(paths) - set(schemas.FEEDS) - set(schemas.BOUNDARIES)
+    if unknown:
+        raise ValueError(f"unknown datasets {sorted(unknown)}")
+
+    def load_one(name: str) -> None:
         if name in schemas.FEEDS:
             types = None if infer_types else schemas.FEEDS[name]
             landed = feed_io.csv_to_parquet(
-                spark, path, landing, name, run_date, types, caps.get(name)
+                spark, paths[name], landing, name, run_date, types, caps.get(name)
             )
             rows = feed_io.read_landed(spark, landed)
             raw.append_snapshot(rows, f"{tables_root}/{name}", run_date)
-        elif name in schemas.BOUNDARIES:
+        else:
             properties = schemas.BOUNDARIES[name]
-            features = geojson.scan_geojson(spark, path, multi_line_geojson)
+            features = geojson.scan_geojson(spark, paths[name], multi_line_geojson)
             landed = feed_io.landing_path(landing, name, run_date)
             geojson.write_ndjson(geojson.flatten_features(features, properties), landed)
             rows = geojson.read_ndjson(spark, landed, f"{properties}, geometry string")
             raw.replace_snapshot(rows, f"{tables_root}/{name}", run_date)
-        else:
-            raise ValueError(f"unknown dataset {name}")
+
+    _all_at_once(load_one, list(paths))
+
+
+def _all_at_once(action, names: list[str]) -> list:
+    """Submit independent Spark jobs together, so that the small ones fill the gaps
+    of the large ones; returns when all are done and raises the first error."""
+    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+        return list(pool.map(action, names))
 
 
 def transform(
@@ -88,45 +101,59 @@ def transform(
     ``current_boundaries`` uses only the newest version of each boundary set.
     """
     build = Build()
+    merged: set[str] = set()
 
-    def check(names: list[str]) -> None:
+    def check(*names: str) -> None:
+        """Check tables, and let later runs see the ones that were stored."""
         wanted = [c for c in checks.ALL_CHECKS if c.model in names]
         frames = {**{f"raw_{k}": v for k, v in build.raw.items()}, **build.refined}
-        found = checks.report(frames, wanted).select(*checks.COLUMNS)
-        build.results += [tuple(row) for row in found.collect()]
+        found = [tuple(row) for row in checks.report(frames, wanted).collect()]
+        build.results += found
+        repeated = [r[0] for r in found if r[1] == "unique" and r[3] and r[0] in merged]
+        if repeated:
+            raise DuplicateKeys(f"several source rows share one key in {', '.join(repeated)}")
         if strict:
-            checks.enforce(build.results)
-
-    def merge(name: str, source: DataFrame) -> None:
+            checks.enforce(found)
+        for name in names:
+            if name in KEYS:
+                tables.mark_checked(spark, f"{root}/refined/{name}", run_date)
+
+    def merge(name: str, source: DataFrame) -> DataFrame:
+        path = f"{root}/refined/{name}"
+        if tables.read_version(spark, path, before=run_date) is not None:
+            merged.add(name)
         build.refined[name] = tables.merge_version(
-            source, f"{root}/refined/{name}", KEYS[name], run_date, ORDER.get(name)
+            source, path, KEYS[name], run_date, ORDER.get(name)
         )
+        return build.refined[name]
 
     for name in staging.MODELS:
         build.raw[name] = raw.read_snapshot(spark, f"{root}/raw/{name}", run_date)
-    check([f"raw_{name}" for name in staging.MODELS])
+    check(*[f"raw_{name}" for name in staging.MODELS])
     staged = {name: staging.rename_and_type(build.raw[name], name) for name in staging.MODELS}
 
-    merge("refined_dim_datetime", refined.dim_datetime(staged["crash"]))
-    merge("refined_dim_location", refined.dim_location(staged["crash"]))
-    merge("refined_ward", refined.ward(staged["ward"]))
-    merge("refined_neighborhood", refined.neighborhood(staged["neighborhood"]))
-    wards, hoods = build.refined["refined_ward"], build.refined["refined_neighborhood"]
+    independent = {
+        "refined_dim_datetime": refined.dim_datetime(staged["crash"]),
+        "refined_dim_location": refined.dim_location(staged["crash"]),
+        "refined_ward": refined.ward(staged["ward"]),
+        "refined_neighborhood": refined.neighborhood(staged["neighborhood"]),
+    }
+    _, locations, wards, hoods = _all_at_once(
+        lambda name: merge(name, independent[name]), list(independent)
+    )
     if current_boundaries:
         wards, hoods = current_only(wards), current_only(hoods)
     build.refined["refined_dim_location_enriched"] = refined.dim_location_enriched(
-        build.refined["refined_dim_location"], wards, hoods, cell
+        locations, wards, hoods, cell
     )
-    check(list(build.refined))
-
-    merge("refined_fact_crash", refined.fact_crash(staged["crash"]))
-    check(["refined_fact_crash"])
-    crashes = build.refined["refined_fact_crash"]
-    merge("refined_fact_vehicle", refined.fact_vehicle(staged["vehicle"], crashes))
-    check(["refined_fact_vehicle"])
-    vehicles = build.refined["refined_fact_vehicle"]
+    check(*build.refined)
+
+    crashes = merge("refined_fact_crash", refined.fact_crash(staged["crash"]))
+    check("refined_fact_crash")
+    vehicles = merge("refined_fact_vehicle", refined.fact_vehicle(staged["vehicle"], crashes))
+    check("refined_fact_vehicle")
     merge("refined_fact_people", refined.fact_people(staged["people"], crashes, vehicles))
-    check(["refined_fact_people"])
+    check("refined_fact_people")
 
     build.marts = marts(build.refined)
     build.results += checks.mart_results(build.results)

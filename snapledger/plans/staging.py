@@ -110,7 +110,7 @@ MODELS = {
 
 def typed(df: DataFrame, source: str, kind: str) -> Column:
     """The column ``source`` of ``df`` converted as ``kind`` says."""
-    col = df[source]
+    col = F.col(source)
     if kind == "string":
         return col.cast("string")
     if kind == "text":

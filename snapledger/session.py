@@ -21,6 +21,9 @@ PLAN_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Wide projections are built from hundreds of calls; do not record the Python
+    # stack for each of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -32,3 +32,9 @@ def dated_values(spark: SparkSession, path: str, column: str) -> list[str]:
             except ValueError:
                 continue
     return sorted(found)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file, or replace it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()

@@ -204,33 +204,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _per_snapshot(df: DataFrame, happened: str) -> DataFrame:
     """Each row once per snapshot that is not older than the row."""
-    day = F.col(happened).cast("date")
-    snapshots = F.array(
-        *[
-            F.struct(F.lit(i).alias("snap_no"), F.lit(d).cast("date").alias("partition_date"))
-            for i, d in enumerate(SNAPSHOTS)
-        ]
+    snapshots = ", ".join(
+        f"named_struct('snap_no', {i}, 'partition_date', date '{d}')" for i, d in enumerate(SNAPSHOTS)
+    )
+    return df.selectExpr("*", f"inline(array({snapshots}))").where(
+        f"cast({happened} as date) <= partition_date"
     )
-    return df.select("*", F.inline(snapshots)).where(day <= F.col("partition_date"))
 
 
 def spark_base(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """The rows the column expressions of a dataset run on."""
     if dataset in ("crash", "vehicle"):
-        orders = _per_snapshot(table(spark, sf_dir, "orders"), "o_orderdate").withColumn(
-            "o_day", F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint")
-        )
+        rows = _per_snapshot(table(spark, sf_dir, "orders"), "o_orderdate")
+        day = "cast(unix_date(cast(o_orderdate as date)) as bigint) as o_day"
         if dataset == "crash":
-            return orders
-        return orders.withColumn("u", F.explode(F.array(F.lit(0), F.lit(1))))
+            return rows.selectExpr("*", day)
+        return rows.selectExpr("*", day, "explode(array(0, 1)) as u")
     if dataset == "people":
         return _per_snapshot(table(spark, sf_dir, "lineitem"), "l_shipdate")
     suppliers = table(spark, sf_dir, "supplier")
     if dataset == "ward":
         return suppliers
-    return suppliers.select(
-        F.floor(F.col("s_suppkey") / 4).cast("bigint").alias("area_no")
-    ).distinct()
+    return suppliers.selectExpr("cast(floor(s_suppkey / 4) as bigint) as area_no").distinct()
 
 
 _SNAPSHOT_ROWS = ", ".join(f"({i}, date '{d}')" for i, d in enumerate(SNAPSHOTS))
@@ -252,7 +247,7 @@ BASES = {
 def raw(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """A raw table with all its snapshots."""
     base = spark_base(spark, sf_dir, dataset)
-    return base.select(*[F.expr(e).alias(n) for n, e in COLUMNS[dataset].items()])
+    return base.selectExpr(*[f"{e} as {n}" for n, e in COLUMNS[dataset].items()])
 
 
 def raw_sql(dataset: str) -> str:
