@@ -38,3 +38,9 @@ def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file, or replace it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
+def remove_marker(spark: SparkSession, path: str) -> None:
+    """Delete a marker file if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False)
