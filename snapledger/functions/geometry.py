@@ -126,8 +126,13 @@ def odd_crossings(edges: Column, x: Column, y: Column) -> Column:
 
 def inside_edges(edges: Column, x: Column, y: Column) -> Column:
     """Strictly inside by the even-odd rule: holes and several parts need no
-    special treatment, points on an edge are outside."""
-    return odd_crossings(edges, x, y) & ~F.exists(edges, lambda e: lies_on(e, x, y))
+    special treatment, points on an edge are outside. One cheap pass first picks the
+    edges at the height of the point."""
+    level = F.filter(edges, lambda e: (e["y1"] - y) * (e["y2"] - y) <= 0)
+    return _bind(
+        level,
+        lambda found: odd_crossings(found, x, y) & ~F.exists(found, lambda e: lies_on(e, x, y)),
+    )
 
 
 def point_within(point: Column, polygon: Column) -> Column:

@@ -5,10 +5,14 @@ side is prepared per cell:
 
 * cells no edge touches lie wholly inside or wholly outside the polygon. Inside
   cells need no further test, outside cells are left out;
-* cells an edge touches keep the edges of their grid row that do not lie left of
-  them, which is all a ray towards growing x can meet. The exact test runs on
-  those edges instead of the whole outline.
-
+* cells an edge touches keep the edges that touch them. A ray from a point of the
+  cell towards growing x may also cross edges further right, but only the number of
+  them matters, odd or even. Every such edge crosses the ray at height y if just one
+  of its ends lies above y, so an end shared by two of them cancels out. What is
+  left are the few heights where an outline enters or leaves the cell's right hand
+  side; each becomes one upright edge far to the right.
+
+The exact test therefore looks at a handful of edges, however long the outline is.
 A point has one cell and a polygon covers a cell once, so no pair shows up twice,
 and the grid size changes the speed but not the result.
 """
@@ -19,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions import geometry as G
+from snapledger.operators.joins import NULL_GROUPS
+from snapledger.session import shared_dir
 
 # Largest prepared polygon side, in estimated bytes, that is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -30,21 +36,43 @@ BYTES_PER_CELL = 256
 MARGIN = 1e-6
 
 
+# First grid column for points without coordinates, beyond any real one.
+NOWHERE = 2**61
+
+# End points of the upright edges that stand for edges further right.
+FAR = 1e300
+
+
 def _cell(value: Column, cell: float) -> Column:
     return F.floor(value / F.lit(cell))
 
 
-def _touches(edge: Column, cx: Column, cy: Column, half: Column) -> Column:
-    """Does the edge meet the square around (cx, cy)? Overlapping extents, and the
-    corners not all on one side of the edge's line."""
-    dx, dy = edge["x2"] - edge["x1"], edge["y2"] - edge["y1"]
-    side = F.abs(dx * (cy - edge["y1"]) - dy * (cx - edge["x1"]))
-    return (
-        (F.least(edge["x1"], edge["x2"]) <= cx + half)
-        & (F.greatest(edge["x1"], edge["x2"]) >= cx - half)
-        & (F.least(edge["y1"], edge["y2"]) <= cy + half)
-        & (F.greatest(edge["y1"], edge["y2"]) >= cy - half)
-        & (side <= (F.abs(dx) + F.abs(dy)) * half * (1 + MARGIN))
+def _clipped(e: Column, low: Column, high: Column) -> Column:
+    """The edge with the extent in x of its part between two heights."""
+
+    def x_at(end: Column, y: Column) -> Column:
+        inner = F.greatest(low, F.least(high, y))
+        slope = (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
+        return F.when(inner == y, end).otherwise(e["x1"] + (inner - e["y1"]) * slope)
+
+    a, b = x_at(e["x1"], e["y1"]), x_at(e["x2"], e["y2"])
+    return F.struct(
+        *[e[n].alias(n) for n in ("x1", "y1", "x2", "y2")],
+        F.least(a, b).alias("lo"),
+        F.greatest(a, b).alias("hi"),
+    )
+
+
+def _unpaired_ends(edges: Column) -> Column:
+    """Heights at which an odd number of the edges ends. Edges follow each other
+    along their outline, so the list stays short while it is built."""
+    heights = F.flatten(F.transform(edges, lambda e: F.array(e["y1"], e["y2"])))
+    return F.aggregate(
+        heights,
+        F.array().cast("array<double>"),
+        lambda open_, y: F.when(F.array_contains(open_, y), F.array_remove(open_, y)).otherwise(
+            F.array_append(open_, y)
+        ),
     )
 
 
@@ -52,12 +80,12 @@ def polygon_cells(polygons: DataFrame, geometry: str, keep: list[str], cell: flo
     """Per polygon and grid cell: ``_cx, _cy``, the kept columns, and ``_edges``,
     which is empty for a cell wholly inside. No shuffle: each polygon is expanded
     where it is read, first into grid rows with the edges of the row, then into the
-    cells of each row. Outlines, row edges and cell edges each leave an explode, so
-    they are computed once and not again in every later expression."""
+    cells of each row. Intermediate lists leave an explode, so they are computed once
+    and not again in every later expression."""
     half = F.lit(cell / 2 * (1 + MARGIN))
 
-    def reach(edges: str, pick, a: str, b: str, total) -> Column:
-        return _cell(total(F.transform(edges, lambda e: pick(e[a], e[b]))), cell)
+    def reach(pick, a: str, b: str, total) -> Column:
+        return _cell(total(F.transform("_outline", lambda e: pick(e[a], e[b]))), cell)
 
     outlines = polygons.select(
         *keep, F.explode(F.array(G.polygon_edges(F.col(geometry)))).alias("_outline")
@@ -65,31 +93,47 @@ def polygon_cells(polygons: DataFrame, geometry: str, keep: list[str], cell: flo
     rows = outlines.select(
         *keep,
         "_outline",
-        reach("_outline", F.least, "x1", "x2", F.array_min).alias("_west"),
-        reach("_outline", F.greatest, "x1", "x2", F.array_max).alias("_east"),
+        reach(F.least, "x1", "x2", F.array_min).alias("_west"),
+        reach(F.greatest, "x1", "x2", F.array_max).alias("_east"),
         F.explode(
             F.sequence(
-                reach("_outline", F.least, "y1", "y2", F.array_min),
-                reach("_outline", F.greatest, "y1", "y2", F.array_max),
+                reach(F.least, "y1", "y2", F.array_min),
+                reach(F.greatest, "y1", "y2", F.array_max),
             )
         ).alias("_cy"),
     )
     y0 = (F.col("_cy") + 0.5) * cell
-
-    def in_row(e: Column) -> Column:
-        return (F.least(e["y1"], e["y2"]) <= y0 + half) & (F.greatest(e["y1"], e["y2"]) >= y0 - half)
-
-    row_edges = rows.select(
-        *keep, "_west", "_east", "_cy", F.explode(F.array(F.filter("_outline", in_row))).alias("_row")
+    low, high = y0 - half, y0 + half
+    in_row = F.filter(
+        "_outline",
+        lambda e: (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["y1"], e["y2"]) >= low),
     )
+    clipped = F.transform(in_row, lambda e: _clipped(e, low, high))
+    row_edges = rows.select(*keep, "_west", "_east", "_cy", F.explode(F.array(clipped)).alias("_row"))
     cells = row_edges.select(*keep, "_cy", "_row", F.explode(F.sequence("_west", "_east")).alias("_cx"))
     x0 = (F.col("_cx") + 0.5) * cell
-    border = F.exists("_row", lambda e: _touches(e, x0, y0, half))
-    ahead = F.filter("_row", lambda e: F.greatest(e["x1"], e["x2"]) >= x0 - half)
-    inside = G.odd_crossings(F.col("_row"), x0, y0)
+    touching = F.filter("_row", lambda e: (e["lo"] <= x0 + half) & (e["hi"] >= x0 - half))
+    ends = _unpaired_ends(F.filter("_row", lambda e: e["lo"] > x0 + half))
+    split = cells.select(
+        *keep, "_cx", "_cy", F.inline(F.array(F.struct(touching.alias("_near"), ends.alias("_ends"))))
+    )
+    near = F.transform("_near", lambda e: F.struct(*[e[n].alias(n) for n in ("x1", "y1", "x2", "y2")]))
+    above = F.filter("_ends", lambda y: y > high)
+    heights = F.concat(
+        F.slice(above, 1, F.size(above) % 2), F.filter("_ends", lambda y: (y > low) & (y <= high))
+    )
+    upright = F.transform(
+        heights,
+        lambda y: F.struct(
+            F.lit(FAR).alias("x1"), y.alias("y1"), F.lit(FAR).alias("x2"), F.lit(-FAR).alias("y2")
+        ),
+    )
+    inside = F.size(F.filter("_ends", lambda y: y > y0)) % 2 == 1
     # No array at all for a cell wholly outside: the explode leaves it out.
-    edges = F.when(border, F.array(ahead)).when(inside, F.array(F.slice("_row", 1, 0)))
-    return cells.select(*keep, "_cx", "_cy", F.explode(edges).alias("_edges"))
+    edges = F.when(F.size("_near") > 0, F.array(F.concat(near, upright))).when(
+        inside, F.array(F.slice(near, 1, 0))
+    )
+    return split.select(*keep, "_cx", "_cy", F.explode(edges).alias("_edges"))
 
 
 def cells_bytes(cells: DataFrame) -> int:
@@ -113,20 +157,29 @@ def spatial_left_join(
     """All points, with the columns ``take`` ({new name: polygon column}) of every
     polygon they lie strictly inside, or NULLs.
 
-    The prepared polygon side is measured. Up to ``broadcast_bytes`` it is broadcast
-    and the points do not move; beyond that both sides are shuffled on the cell, and
-    adaptive execution splits crowded cells.
+    The prepared polygon side is written to the shared folder once and measured there.
+    Up to ``broadcast_bytes`` it is broadcast and the points do not move; beyond that
+    both sides are shuffled on the cell, and adaptive execution splits crowded cells.
     """
+    spark = points.sparkSession
+    # Boundary sets are small files with long outlines: use all cores to expand them.
     named = polygons.select(
         *[F.col(c).alias(n) for n, c in take.items()], F.col(geometry).alias("_geometry")
-    )
-    cells = polygon_cells(named, "_geometry", list(take), cell)
+    ).repartition(spark.sparkContext.defaultParallelism)
+    path = shared_dir(spark, "cells")
+    polygon_cells(named, "_geometry", list(take), cell).write.parquet(path)
+    cells = spark.read.parquet(path)
     if cells_bytes(cells) <= broadcast_bytes:
         cells = F.broadcast(cells)
     else:
         cells = cells.hint("merge")
     x, y = F.col(point)["lon"], F.col(point)["lat"]
-    located = points.withColumns({"_px": _cell(x, cell), "_py": _cell(y, cell)})
+    # Points without coordinates get columns no polygon reaches, many of them, so that
+    # a shuffle does not send them all to one task.
+    nowhere = F.lit(NOWHERE) + F.pmod(F.xxhash64(*points.columns), F.lit(NULL_GROUPS))
+    located = points.withColumns(
+        {"_px": F.coalesce(_cell(x, cell), nowhere), "_py": F.coalesce(_cell(y, cell), F.lit(0))}
+    )
     condition = (
         (F.col("_px") == F.col("_cx"))
         & (F.col("_py") == F.col("_cy"))

@@ -729,7 +729,10 @@ def upsert_rekeyed(spark, sf):
     REKEYED,
 )
 def current_only(spark, sf):
-    return snapshot.current_only(_rekeyed(spark, sf))
+    """On the stored table, as the newest date is looked up in it first."""
+    path = shared_dir(spark, "merged")
+    _rekeyed(spark, sf).write.parquet(path)
+    return snapshot.current_only(spark.read.parquet(path))
 
 
 # --- checks --------------------------------------------------------------------
