@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3), BENCH_QUERIES (comma separated names). Every query runs once
+BENCH_RUNS (default 2), BENCH_QUERIES (comma separated names). Every query runs once
 to warm up and then BENCH_RUNS times into a sink that computes all rows and columns;
 the median counts.
 """
@@ -46,7 +46,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = os.environ.get("BENCH_QUERIES", "").split(",")
     names = [n for n in names if n] or HEADLINE
     extra = {"spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")}

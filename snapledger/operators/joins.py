@@ -57,6 +57,24 @@ def missing_parent(
     return rows.join(parents, condition, "left_anti")
 
 
+def count_missing_parent(
+    child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, within: str | None = None
+) -> DataFrame:
+    """Number of child rows without a parent, as the single row ``n``. Both sides are
+    reduced to their distinct keys before they are shuffled, so neither a parent with
+    many children nor a repeated parent weighs on the join."""
+    pairs = {child_key: parent_key, **({within: within} if within else {})}
+    names = {f"_p{i}": pair for i, pair in enumerate(pairs.items())}
+    children = (
+        child.where(F.col(child_key).isNotNull())
+        .groupBy(*[F.col(c).alias(n) for n, (c, _) in names.items()])
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    parents = parent.select(*[F.col(p).alias(n) for n, (_, p) in names.items()]).distinct()
+    missing = children.join(parents, list(names), "left_anti")
+    return missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
+
+
 def _all(conditions) -> Column:
     result = None
     for condition in conditions:

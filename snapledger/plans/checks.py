@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.operators import quality as Q
+from snapledger.operators.joins import count_missing_parent
 from snapledger.operators.snapshot import SNAPSHOT
 from snapledger.plans.marts import MARTS
 
@@ -95,11 +96,19 @@ def report(frames: dict[str, DataFrame], checks: list[Check] = ALL_CHECKS) -> Da
     done = {(m, c, k) for m, c in unique & required for k in ("unique", "not_null")}
     for check in checks:
         if check.kind != "not_null" and (check.model, check.column, check.kind) not in done:
-            failures = violations(check, frames).agg(F.count(F.lit(1)).alias("failures"))
+            failures = _failures(check, frames)
             parts.append(_result(failures, check.model, check.kind, check.column))
     return reduce(DataFrame.unionByName, parts).select(*COLUMNS)
 
 
+def _failures(check: Check, frames: dict[str, DataFrame]) -> DataFrame:
+    if check.kind == "relationships":
+        child, parent = frames[check.model], frames[check.to]
+        count = count_missing_parent(child, parent, check.column, check.field, within=SNAPSHOT)
+        return count.select(F.col("n").alias("failures"))
+    return violations(check, frames).agg(F.count(F.lit(1)).alias("failures"))
+
+
 def _result(failures: DataFrame, model: str, kind: str, column: str) -> DataFrame:
     labels = {"model": model, "check": kind, "column": column}
     return failures.select(*[F.lit(v).alias(k) for k, v in labels.items()], "failures")
@@ -149,13 +158,22 @@ def _key_counts(df: DataFrame, model: str, column: str) -> DataFrame:
     )
 
 
-def mart_results(results: list[tuple]) -> list[tuple]:
-    """Results of the mart checks. A mart shows a refined table unchanged, so they
-    are the results of that table and nothing is scanned again."""
-    known = {tuple(r[:3]): r[3] for r in results}
-    return [
-        (c.model, c.kind, c.column, known[MARTS[c.model], c.kind, c.column]) for c in MART_CHECKS
-    ]
+def with_mart_results(results: DataFrame) -> DataFrame:
+    """Add the results of the mart checks. A mart shows a refined table unchanged, so
+    they are the results of that table and nothing is scanned again."""
+    mart = F.coalesce(
+        *[
+            F.when(
+                (F.col("model") == MARTS[c.model])
+                & (F.col("check") == c.kind)
+                & (F.col("column") == c.column),
+                F.lit(c.model),
+            )
+            for c in MART_CHECKS
+        ]
+    )
+    names = F.array_compact(F.array("model", mart))
+    return results.select(F.explode(names).alias("model"), *COLUMNS[1:])
 
 
 def enforce(results: list[tuple]) -> None:

@@ -107,7 +107,8 @@ def transform(
         """Check tables, and let later runs see the ones that were stored."""
         wanted = [c for c in checks.ALL_CHECKS if c.model in names]
         frames = {**{f"raw_{k}": v for k, v in build.raw.items()}, **build.refined}
-        found = [tuple(row) for row in checks.report(frames, wanted).collect()]
+        report = checks.with_mart_results(checks.report(frames, wanted))
+        found = [tuple(row) for row in report.collect()]
         build.results += found
         repeated = [r[0] for r in found if r[1] == "unique" and r[3] and r[0] in merged]
         if repeated:
@@ -156,7 +157,6 @@ def transform(
     check("refined_fact_people")
 
     build.marts = marts(build.refined)
-    build.results += checks.mart_results(build.results)
     return build
 
 

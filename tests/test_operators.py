@@ -147,6 +147,50 @@ def test_missing_parent(spark):
     assert [r.id for r in joins.missing_parent(child, parent, "k", "p").collect()] == [3]
     within = joins.missing_parent(child, parent, "k", "p", within="s")
     assert sorted(r.id for r in within.collect()) == [3, 4]
+    assert joins.count_missing_parent(child, parent, "k", "p").first().n == 1
+    assert joins.count_missing_parent(child, parent, "k", "p", "s").first().n == 2
+    assert joins.count_missing_parent(child.where("id = 2"), parent, "k", "p").first().n == 0
+
+
+def test_people_fact_with_hot_and_missing_keys(spark):
+    """A third of the people in one crash, a third without a vehicle."""
+    from snapledger.plans import refined, staging
+
+    conf = _no_broadcast(
+        spark,
+        {
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        },
+    )
+    try:
+        n = 30000
+        texts = [t for _, t, kind in staging.PEOPLE if kind in ("text", "upper_text")]
+        people = spark.range(n).select(
+            F.col("id").cast("string").alias("person_id"),
+            F.expr("if(id % 3 = 0, 'c0', concat('c', id % 1500))").alias("crash_id"),
+            F.expr("if(id % 3 = 1, null, id % 4000)").alias("vehicle_id"),
+            *[F.lit("x").alias(t) for t in texts if t not in ("person_id", "crash_id")],
+        )
+        crashes = spark.range(1000).select(
+            F.expr("concat('c', id)").alias("crash_id"), F.expr("concat('h', id)").alias("crash_hkey")
+        )
+        vehicles = spark.range(2000).select(
+            F.col("id").alias("vehicle_id"), F.expr("concat('v', id)").alias("vehicle_hkey")
+        )
+        got = refined.fact_people(people, crashes, vehicles)
+        found = {r.person_id: (r.crash_hkey, r.vehicle_hkey) for r in got.collect()}
+        for i in range(n):
+            crash = 0 if i % 3 == 0 else i % 1500
+            crash_key = f"h{crash}" if crash < 1000 else None
+            vehicle_key = f"v{i % 4000}" if i % 3 != 1 and i % 4000 < 2000 else None
+            assert found[str(i)] == (crash_key, vehicle_key)
+        assert len(found) == got.count() == n
+        assert "skew=true" in plan(got)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
 
 
 # --- spatial -------------------------------------------------------------------

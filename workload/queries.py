@@ -806,9 +806,28 @@ def _failures_sql(check: checks.Check) -> str:
 
 @query("quality_report", " union all ".join(_failures_sql(c) for c in checks.ALL_CHECKS))
 def quality_report(spark, sf):
-    """All declared checks on the marts a full job run has stored."""
-    build = _job(spark, sf)
-    return spark.createDataFrame(build.results, "model string, check string, column string, failures bigint")
+    """All declared checks. The facts are stored before they are checked, as the next
+    one is built from them."""
+    frames = {f"raw_{name}": last_of(I.raw(spark, sf, name)) for name in I.COLUMNS}
+    staged_rows = {n: staging.rename_and_type(frames[f"raw_{n}"], n) for n in I.COLUMNS}
+    folder = shared_dir(spark, "checked")
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        frames[name] = spark.read.parquet(f"{folder}/{name}")
+        return frames[name]
+
+    frames["refined_dim_datetime"] = refined.dim_datetime(staged_rows["crash"])
+    locations = store("refined_dim_location", refined.dim_location(staged_rows["crash"]))
+    wards = store("refined_ward", refined.ward(staged_rows["ward"]))
+    hoods = store("refined_neighborhood", refined.neighborhood(staged_rows["neighborhood"]))
+    frames["refined_dim_location_enriched"] = refined.dim_location_enriched(
+        locations, wards, hoods, I.CELL
+    )
+    crashes = store("refined_fact_crash", refined.fact_crash(staged_rows["crash"]))
+    vehicles = store("refined_fact_vehicle", refined.fact_vehicle(staged_rows["vehicle"], crashes))
+    store("refined_fact_people", refined.fact_people(staged_rows["people"], crashes, vehicles))
+    return checks.with_mart_results(checks.report(frames))
 
 
 # --- models --------------------------------------------------------------------
