@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -65,14 +64,10 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset and
-    the master is local (tests, a laptop) is a temporary folder used instead: on a
-    cluster a machine-local folder would not be visible to the other machines.
+    ``spark.checkpoint.dir`` is read from the session; where it is unset, the folder
+    is below the session's warehouse, which all machines of a cluster share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="snapledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

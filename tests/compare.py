@@ -74,7 +74,7 @@ if __name__ == "__main__":
 
     args = sys.argv[1:]
     sf = args[0] if args else "/root/testdata/sf0.01"
-    names = args[1:] or list(entry.queries())
+    names = args[1:] or list(entry.oracle_sql())
     spark = build_session(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)

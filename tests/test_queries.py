@@ -13,14 +13,14 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     same, note = compare.compare(spark, con, name, SF)
     assert same, note
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.SQL)
 
 
 def test_entry(spark):
