@@ -200,7 +200,7 @@ _FOUND = T.StructType(
 
 def _merged(spans: list) -> list[list[int]]:
     out: list[list[int]] = []
-    for start, end in sorted(spans):
+    for start, end in sorted(map(tuple, spans)):
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
