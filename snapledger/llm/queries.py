@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapledger.llm import decontaminate, exact_dedup
+from snapledger.llm import decontaminate, exact_dedup, warc_zip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc_zip.write_pages(_table(spark, sf_dir, "pages"))
+    return warc_zip.read_packages(packages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -27,4 +34,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in globals().items() if name.startswith("op")
 }
 
-SQL: dict[str, str] = {"op4_exact_dedup": exact_dedup.EXACT_SQL}
+WARC_SQL = """
+    with t as (select page_id, url, coalesce(html, '') as x from pages),
+    u as (
+        select *, octet_length(encode(x)) as n, sha256(x) as h, min(page_id) over (partition by x) as first_id
+        from t
+    )
+    select page_id, n as payload_bytes, h as payload_digest, url,
+        case when n >= 100 and page_id is distinct from first_id then 'revisit' else 'response' end as record_type,
+        case when n >= 100 and page_id is distinct from first_id then first_id end as refers_to
+    from u
+"""
+
+SQL: dict[str, str] = {"op3_warc": WARC_SQL, "op4_exact_dedup": exact_dedup.EXACT_SQL}
