@@ -1,7 +1,7 @@
 """WARC records inside ZIP packages: written by partition, read by ranges.
 
-A package holds one stored (not compressed) WARC member and a stored index of its
-records. The reader takes the ZIP directory from the end of the file, ZIP64 included,
+A package holds one stored (not compressed by ZIP) WARC member, whose records are gzip
+members of their own, and a stored index of them. The reader takes the ZIP directory from the end of the file, ZIP64 included,
 finds the stored WARC members and their index, and reads only the byte ranges of the
 records: nothing is extracted and no package is held in memory. Packages live in the
 shared folder; their paths come from a stored table, so any executor can read any one.
@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import gzip
 import hashlib
-import io
 import json
 import struct
 import uuid
@@ -31,7 +30,7 @@ from snapledger.session import shared_dir
 
 # Shorter payloads are never made into revisits.
 LEAST_REVISIT = 100
-# A package is closed when it has this many payload bytes; ranges are read in such steps.
+# A package is closed when its WARC member has so many bytes; ranges are read in such steps.
 PACKAGE_BYTES = 256 << 20
 READ_BYTES = 8 << 20
 # Fixed, so that a repeated task writes the same bytes.
@@ -89,10 +88,10 @@ def _write_package(root: str, name: str, rows: Iterator[tuple], limit: int) -> t
         return None
     fs.create_dir(folder, recursive=True)
     with fs.open_output_stream(part) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as package:
-        with package.open(zipfile.ZipInfo("archive/data.warc"), "w", force_zip64=True) as member:
+        with package.open(zipfile.ZipInfo("archive/data.warc.gz"), "w", force_zip64=True) as member:
             row = first_row
             while row is not None:
-                record = _record(*row)
+                record = gzip.compress(_record(*row), mtime=0)
                 member.write(record)
                 index.append(json.dumps({"offset": at, "length": len(record), "digest": row[3]}))
                 at += len(record)
@@ -350,7 +349,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for at, n, zipped in row["records"]:
                 one = bytes(raw[at - start : at - start + n])
-                out.append(parse_record(gzip.GzipFile(fileobj=io.BytesIO(one)).read() if zipped else one))
+                out.append(parse_record(gzip.decompress(one) if zipped else one))
             yield pa.RecordBatch.from_pylist(out, RECORD)
 
 
