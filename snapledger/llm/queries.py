@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapledger.llm import decontaminate, exact_dedup, warc_zip
+from snapledger.llm import decontaminate, exact_dedup, language_id, mixing, warc_zip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     packages = warc_zip.write_pages(_table(spark, sf_dir, "pages"))
     return warc_zip.read_packages(packages).select(
@@ -30,6 +34,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in globals().items() if name.startswith("op")
 }
@@ -46,4 +54,4 @@ WARC_SQL = """
     from u
 """
 
-SQL: dict[str, str] = {"op3_warc": WARC_SQL, "op4_exact_dedup": exact_dedup.EXACT_SQL}
+SQL: dict[str, str] = {"op2_mixing": mixing.MIX_SQL, "op3_warc": WARC_SQL, "op4_exact_dedup": exact_dedup.EXACT_SQL}
