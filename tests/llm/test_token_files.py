@@ -1,0 +1,53 @@
+import random
+
+import numpy as np
+import pytest
+
+from snapledger.llm import queries
+from snapledger.llm import token_files as K
+
+DOCS = "doc_id long, text string, path string, n_tokens string"
+
+
+def brute(rows):
+    with open(K.VOCABULARY, "rb") as file:
+        encode = K._encoding(file.read()).encode_ordinary
+    return sorted(((i, len(encode(t or ""))) for i, t in rows), key=str)
+
+
+def test_edge_cases(spark):
+    rows = [(1, "a b c"), (2, None), (3, ""), (4, "<|endoftext|> é " * 3000), (None, "x"), (1, "a b c"), (5, "z")]
+    d = spark.createDataFrame([(*r, "p", "q") for r in rows], DOCS).repartition(3)
+    for block in (2, 64, 1 << 20):
+        got = K.count_tokens(d, block_bytes=block, limit=5000)
+        assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+    assert K.count_tokens(spark.createDataFrame([], DOCS)).count() == 0
+
+
+@pytest.mark.parametrize("dtype", ["uint16", "uint32"])
+@pytest.mark.parametrize("block", [4, 40, 1000])
+def test_flat_files(spark, tmp_path, dtype, block):
+    rng = random.Random(block)
+    want = []
+    for k in range(4):
+        docs = [rng.choice([0, 0, 1, 3, 50]) for _ in range(30 * k)]
+        ids = [t for n in docs for t in [7] * n + [9]]
+        if k == 2:  # not ended by a separator
+            ids, docs = [*ids, 7, 7], [*docs, 2]
+        np.array(ids, dtype).tofile(tmp_path / f"{k}.bin")
+        want += [(f"{tmp_path}/{k}.bin", i, n) for i, n in enumerate(docs)]
+    files = spark.createDataFrame([(f"{tmp_path}/{k}.bin",) for k in range(4)], "path string")
+    got = K.scan_tokens(files, separator=9, dtype=dtype, block_bytes=block)
+    assert sorted(map(tuple, got.select("path", "ordinal", "n_tokens").collect())) == sorted(want)
+
+
+def test_separator_must_fit(spark):
+    with pytest.raises(ValueError, match="uint8"):
+        K.write_tokens(spark.createDataFrame([(1, "a", "", "")], DOCS), dtype="uint8")
+
+
+def test_registered_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = queries.QUERIES["op9_token_counts"](spark, sf)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(map(tuple, rows))
