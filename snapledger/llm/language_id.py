@@ -153,12 +153,17 @@ def has_letter(text: str | None) -> bool:
 
 def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """At most SAMPLE_ROWS rows in the order of a hash, a piece of SAMPLE_CHARS characters
-    from anywhere in the text of each."""
+    from anywhere in the text of each. The rows are counted first, and those whose hash is
+    too high to be among the lowest are left out where they are read, so that what is
+    sorted does not grow with the table."""
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit(SEED))
     room = F.greatest(F.length(text_col) - SAMPLE_CHARS, F.lit(0)) + 1
+    known = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    share = 4 * SAMPLE_ROWS / max(1, known.count())
+    if share < 1:
+        known = known.where(order < int(-(2**63) + share * 2**64))
     return (
-        labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-        .select(
+        known.select(
             F.col(lang_col).alias("_lang"),
             F.substr(F.col(text_col), 1 + F.pmod(order, room).cast("int"), F.lit(SAMPLE_CHARS)).alias("_text"),
             order.alias("_order"),
