@@ -12,6 +12,7 @@ from snapledger.llm import (
     language_id,
     main_text,
     mixing,
+    parity_join,
     token_files,
     url_rank,
     warc_zip,
@@ -59,6 +60,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in globals().items() if name.startswith("op")
 }

@@ -1,0 +1,127 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from snapledger.llm import parity_join as P
+from snapledger.llm import queries
+from snapledger.llm.components import components
+
+DOCS = "doc_id long, text string, component_id string, _v string"
+
+
+def words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lower)
+
+
+def sets(text):
+    w = words(text)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(rows):
+    found = [sets(t) for _, t in rows]
+    holders = {}
+    for i, s in enumerate(found):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, s in enumerate(found):
+        common = {}
+        for x in s:
+            for j in holders[x]:
+                if j < i:
+                    common[j] = common.get(j, 0) + 1
+        for j, c in common.items():
+            if 100 * c >= 80 * (len(s) + len(found[j]) - c):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (name, _) in enumerate(rows):
+        if name is not None:
+            least[root(i)] = min(name, least.get(root(i), name))
+    return sorted(((n, len(s), least.get(root(i)) if s else n) for i, ((n, _), s) in enumerate(zip(rows, found))), key=str)
+
+
+def grouped(spark, rows):
+    d = spark.createDataFrame([(*r, "c", "v") for r in rows], DOCS).repartition(6)
+    return sorted(map(tuple, P.near_groups(d).collect()), key=str)
+
+
+def family(rng, n, copies, share):
+    base = [f"w{rng.randrange(5000)}" for _ in range(n)]
+    for _ in range(copies):
+        text = list(base)
+        for _ in range(int(n * share * rng.random())):
+            at = rng.randrange(len(text))
+            rng.choice([lambda: text.pop(at), lambda: text.insert(at, "new"), lambda: text.__setitem__(at, f"x{rng.random()}")])()
+        yield " ".join(text)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    texts = [t for n in (3, 5, 6, 8, 9, 10, 12, 15, 20, 30, 60, 120, 400) for _ in range(3) for t in family(rng, n, 12, 0.12)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts += [f"{passage} {' '.join(f'u{rng.random()}' for _ in range(rng.randint(3, 25)))}" for _ in range(60)]
+    texts += ["a b", "A  b", "a\tb c", "", None, " \n", "é É é É é É", "one"] * 2
+    rows = list(enumerate(texts)) + [(None, texts[0]), (None, "only null here now ok"), (3, "same id other text in this row"), (0, texts[0])]
+    rng.shuffle(rows)
+    assert grouped(spark, rows) == brute(rows)
+
+
+def test_every_linking_pair_shares_a_key():
+    rng = np.random.default_rng(5)
+    for n in [*range(4, 60), 100, 333, 2000]:
+        for _ in range(30 if n < 60 else 5):
+            whole = np.unique(rng.integers(0, 2**63, n + n // 4, dtype=np.uint64))
+            # a and b with as large a difference as a link allows
+            for b in range(n, len(whole) + 1):
+                a = -(-4 * b // 5)
+                part = np.sort(rng.permutation(whole[:b])[:a])
+                assert a < P.LEAST or np.intersect1d(P.block_keys(part), P.block_keys(whole[:b])).size, (n, b)
+
+
+def test_crowded_block_is_compared_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(P, "TILE", 5)
+    rng = random.Random(9)
+    rows = [(i, t) for i, t in enumerate(t for _ in range(4) for t in family(rng, 40, 30, 0.3))]
+    assert grouped(spark, rows) == brute(rows)
+
+
+def test_empty_and_drop(spark):
+    d = spark.createDataFrame([], DOCS)
+    assert P.near_groups(d).count() == 0 and P.drop_near(d).count() == 0
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(2, text), (1, text + " more"), (3, None), (4, ""), (5, "other words"), (None, None)]
+    d = spark.createDataFrame([(*r, "c", "v") for r in rows], DOCS)
+    kept = P.drop_near(d)
+    assert kept.columns == d.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, 4, 5, None]
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(-60, 60), rng.randrange(-60, 60)) for _ in range(40)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    comp = {x: x for e in edges for x in e}
+    for _ in range(200):
+        for a, b in edges:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    loops = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {k: v for k, v in comp.items() if k not in loops}
+
+
+def test_registered_query(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted(map(tuple, queries.QUERIES["op10_parity_join"](spark, sf).collect()), key=str)
+    assert got == brute(rows)
