@@ -10,10 +10,11 @@ the codes of its set bits. Blocks without a bit say nothing and are not joined o
 with as many of those as there are spare blocks is cut again by another hash, and partners
 that agree only on empty blocks are, too.
 
-What meets on a block is not paired off. Each member is compared with the smallest one;
-members that ended up in different components are then compared in tiles of bounded size,
-and members of one component need no comparison. Before texts are fetched, sizes and a
-shorter parity sketch rule pairs out. What is left is verified on the full shingle sets.
+What meets on a block is not paired off. Each member is compared with the smallest one.
+Members that ended up in different components are then compared by a shorter parity sketch,
+in tiles of bounded size: first every member only offers its nearest one of another
+component, until no offer links any more, then the few pairs left are taken one and all.
+Members of one component need no comparison. All links are verified on the full sets.
 
 No step gathers a block's members, a component or a group of copies in one task, and
 nothing of them reaches the driver. Equal sets are one vertex from the start.
@@ -132,8 +133,8 @@ def block_keys(found: np.ndarray) -> np.ndarray:
 
 
 def sketch(found: np.ndarray) -> bytes:
-    """Parity sketch of one or two bits a shingle, at least 64, a power of two."""
-    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
+    """Parity sketch of four to eight bits a shingle, at least 64, a power of two."""
+    bits = max(64, 1 << (4 * len(found) - 1).bit_length())
     counts = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts.astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -200,20 +201,6 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that sizes and sketches allow to link. Columns a, b, na, nb, sa, sb."""
-    for batch in batches:
-        a, b, na, nb, sa, sb = (c.to_pylist() for c in batch.columns)
-        keep = []
-        for x, y, s, t in zip(na, nb, sa, sb):
-            ok = abs(x - y) <= (x + y) // DIFFER
-            if ok:
-                size = min(len(s), len(t))
-                ok = int(np.bitwise_count(_folded(s, size) ^ _folded(t, size)).sum()) <= (x + y) // DIFFER
-            keep.append(ok)
-        yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted: the text of a hub, then the texts to compare with it. A text that
     another row with the same id has is told by its vertex."""
@@ -239,37 +226,55 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by tile pair: compare the members of different components."""
-    rows: list[tuple] = []
-
-    def pairs() -> Iterator[tuple[int, int]]:
-        size = min(len(r["_sketch"]) for r in rows)
-        bits = np.stack([_folded(r["_sketch"], size) for r in rows])
-        n, comp, v = (np.array([r[c] for r in rows], np.int64) for c in ("_n", "comp", "v"))
-        tile = np.array([r["own"] for r in rows])
-        for i in range(len(rows) - 1):
-            most = (n[i + 1 :] + n[i]) // DIFFER
-            apart = np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1)
-            ok = (apart <= most) & (np.abs(n[i + 1 :] - n[i]) <= most) & (comp[i + 1 :] != comp[i])
-            if rows[i]["low"] != rows[i]["high"]:  # pairs inside a tile are compared once, by themselves
-                ok &= tile[i + 1 :] != tile[i]
-            for j in np.flatnonzero(ok):
-                x, y = int(v[i]), int(v[i + 1 + j])
-                yield min(x, y), max(x, y)
-
-    def flush() -> pa.RecordBatch:
-        got = sorted(set(pairs())) if len(rows) > 1 else []
-        return pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    for batch in batches:
-        for row in batch.to_pylist():
-            if rows and (row["key"], row["low"], row["high"]) != (rows[0]["key"], rows[0]["low"], rows[0]["high"]):
-                yield flush()
-                rows.clear()
-            rows.append(row)
-    if rows:
-        yield flush()
+def _tile_pairs(rows: list[dict], nearest: bool) -> set[tuple[int, int]]:
+    """Pairs of different components that sizes and sketches allow to link; with ``nearest``
+    only the one with the most differences to spare for each member."""
+    size = min(len(r["_sketch"]) for r in rows)
+    bits = np.stack([_folded(r["_sketch"], size) for r in rows])
+    n, comp, v, tile = (np.array([r[c] for r in rows], np.int64) for c in ("_n", "comp", "v", "own"))
+    two_tiles = rows[0]["low"] != rows[0]["high"]
+    spare, partner = np.full(len(rows), -1), np.zeros(len(rows), int)
+    out = set()
+    for i in range(len(rows) - 1):
+        most = (n[i + 1 :] + n[i]) // DIFFER
+        left = most - np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        ok = (left >= 0) & (np.abs(n[i + 1 :] - n[i]) <= most) & (comp[i + 1 :] != comp[i])
+        if two_tiles:  # pairs inside a tile are compared once, by themselves
+            ok &= tile[i + 1 :] != tile[i]
+        if not nearest:
+            out.update((min(v[i], x), max(v[i], x)) for x in v[i + 1 :][ok])
+            continue
+        left[~ok] = -1
+        better = left > spare[i + 1 :]
+        spare[i + 1 :][better], partner[i + 1 :][better] = left[better], i
+        j = int(left.argmax())
+        if left[j] > spare[i]:
+            spare[i], partner[i] = left[j], i + 1 + j
+    for i in np.flatnonzero(spare >= 0):
+        x, y = v[i], v[partner[i]]
+        out.add((min(x, y), max(x, y)))
+    return out
+
+
+def _tiles(nearest: bool):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by tile pair, of which one is held at a time."""
+        rows: list[dict] = []
+
+        def flush() -> pa.RecordBatch:
+            got = sorted(_tile_pairs(rows, nearest)) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if rows and (row["key"], row["low"], row["high"]) != (rows[0]["key"], rows[0]["low"], rows[0]["high"]):
+                    yield flush()
+                    rows.clear()
+                rows.append(row)
+        if rows:
+            yield flush()
+
+    return compare
 
 
 class _Texts:
@@ -291,12 +296,11 @@ class _Texts:
         )
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b) that sizes and sketches allow."""
-        end = lambda x: self.vertices.select(
-            F.col("_v").alias(x), F.col("_n").alias(f"n{x}"), F.col("_sketch").alias(f"s{x}")
-        )
+        """Distinct pairs (a, b) whose sizes allow a link."""
+        end = lambda x: self.vertices.select(F.col("_v").alias(x), F.col("_n").alias(f"n{x}"))
         known = pairs.distinct().join(end("a"), "a").join(end("b"), "b")
-        return known.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_near, "a long, b long")
+        near = F.abs(F.col("na") - F.col("nb")) * DIFFER <= F.col("na") + F.col("nb")
+        return known.where(near).select("a", "b")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link. Comparisons with one text are dealt out in chunks."""
@@ -317,11 +321,17 @@ class _Texts:
         keys = self.docs.select("_text").mapInArrow(_keys, "key long, v long")
         met = keys.repartition(self.parts, "key").sortWithinPartitions("key", "v")
         members = stored(met.mapInArrow(_meet, "key long, a long, b long"), "block-members")
-        first = self.verified(members.select("a", "b"))
-        return first.union(self.verified(self._across(members, components(first))))
-
-    def _across(self, members: DataFrame, comps: DataFrame) -> DataFrame:
-        """Pairs of different components that meet on a block and were not compared yet."""
+        links = self.verified(members.select("a", "b"))
+        while True:
+            comps = components(links)
+            known = comps.select(F.col("v").alias("a"), F.col("comp").alias("b"))
+            more = self.verified(self._across(members, comps, True))
+            if more.isEmpty():
+                return known.union(self.verified(self._across(members, comps, False)))
+            links = known.union(more)
+
+    def _across(self, members: DataFrame, comps: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs of different components that meet on a block and may link."""
         of = comps.select(F.col("v").alias("b"), F.col("comp").alias("_comp"))
         labelled = members.join(of, "b", "left").select("key", "a", "b", F.coalesce("_comp", "b").alias("comp"))
         several = labelled.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y"))
@@ -335,7 +345,7 @@ class _Texts:
         )
         rows = rows.join(self.vertices.select(F.col("_v").alias("v"), "_n", "_sketch"), "v")
         sorted_ = rows.repartition(self.parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "v")
-        return stored(sorted_.mapInArrow(_tiles, "a long, b long"), "tile-pairs")
+        return stored(sorted_.mapInArrow(_tiles(nearest), "a long, b long"), "tile-pairs")
 
     def classes(self) -> DataFrame:
         """Vertex, component and the component's smallest id."""
