@@ -13,6 +13,7 @@ from snapledger.llm import (
     main_text,
     mixing,
     parity_join,
+    repeated_spans,
     token_files,
     url_rank,
     warc_zip,
@@ -48,6 +49,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rank.judge_pages(_table(spark, sf_dir, "pages"))
 
 
+def op6_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.repeat_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(_table(spark, sf_dir, "documents"))
 
