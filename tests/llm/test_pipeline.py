@@ -1,0 +1,69 @@
+import re
+
+import corpus_pipeline as C
+from snapledger.llm import language_id, mixing
+from tests.llm import test_decontaminate, test_parity_join
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def collapsed(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def brute(spark, rows, items):
+    """The stages over lists; the language model is trained by the operator."""
+    d = spark.createDataFrame(rows, DOCS)
+    bad = {r[0] for r in language_id.predict_languages(d).where("rejected").select("doc_id").collect()}
+    rows = [r for r in rows if r[0] not in bad]
+    first = {}
+    for r in rows:
+        first[collapsed(r[1])] = min(r[0], first.get(collapsed(r[1]), r[0]))
+    rows = [r for r in rows if first[collapsed(r[1])] == r[0]]
+    kept = {i for i, _, c in test_parity_join.brute([(r[0], r[1]) for r in rows]) if i == c}
+    rows = [r for r in rows if r[0] in kept]
+    out = []
+    for r in rows:
+        n, hit, *_ = test_decontaminate.brute(r[1], items, 10)
+        if hit <= 0.5 * n:
+            out.append((r[0], hit))
+    return dict(out)
+
+
+def test_run_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    want = brute(spark, rows, items)
+    got = C.run(spark, SF)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "mix_copies", "mix_rank"]
+    found = got.collect()
+    assert {r.doc_id for r in found} == set(want) and len(found) == len(want)
+    texts = {r[0]: r[1] for r in rows}
+    for r in found:
+        assert r.n_chars == len(r.text) and r.mix_copies >= 1
+        assert (r.text == texts[r.doc_id]) == (want[r.doc_id] == 0)
+        if want[r.doc_id]:
+            assert test_decontaminate.brute(r.text, items, 10)[1] == 0 or len(r.text) < len(texts[r.doc_id])
+
+
+def test_edge_rows_in_every_stage(spark):
+    long = "word and the other words of it " * 3000
+    docs = [(1, None, None, None, None), (None, "some text here", "en", "a", 1), (2, "", "en", None, 0), (3, long, "en", "", 5),
+            (3, long, "en", "", 5), (4, "kurz und gut", "de", "b", 1)]
+    for rows in (docs, []):
+        d = spark.createDataFrame(rows, DOCS)
+        for name, stage in C.STAGES:
+            d2 = stage(spark, d, SF)
+            assert d2.columns[:5] == d.columns and (d2.columns == d.columns or name == "mixing")
+            assert d2.count() <= len(rows)
+    clashing = spark.createDataFrame(docs, DOCS).selectExpr("*", "1 as _v", "'x' as kept", "2 as mix_copies", "3 as comp")
+    for name, stage in C.STAGES:
+        out = stage(spark, clashing, SF)
+        assert set(out.columns) >= set(clashing.columns)
+        out.count()
+
+
+def test_stages_use_the_dealt_operators():
+    assert [n for n, _ in C.STAGES] == ["language ID", "exact dedup", "near duplicates", "decontamination", "mixing"]
+    assert mixing.MAX_REPEATS > 1
