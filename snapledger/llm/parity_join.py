@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from snapledger.llm.common import stored, text_bytes
 from snapledger.llm.components import components
+from snapledger.llm.repeated_spans import Ranges
 
 WORDS = 5
 # Linking sets differ in at most 1/DIFFER of their summed sizes: 80 % similarity.
@@ -48,6 +49,7 @@ CHUNK = 256  # comparisons with one text in a task
 RUN_BITS = 4
 
 _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
+_PLACES = np.cumprod(np.full(WORDS, _M3, np.uint64))
 _SEEDS = np.arange(CUTS, dtype=np.uint64) * _M3
 _S33, _S32 = np.uint64(33), np.uint64(32)
 
@@ -59,31 +61,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S33)
 
 
-class _Words(dict):
-    """Hashes of words; a worker remembers a bounded number of them."""
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
-            self[word] = value
-        return value
 
-
-_WORDS = _Words()
+def _word_codes(text: bytes) -> np.ndarray:
+    """Hash of every word, by one pass of vector operations over the bytes."""
+    raw = text.lower()
+    gaps = np.concatenate(([True], _SPACE[np.frombuffer(raw, np.uint8)], [True]))
+    edges = np.flatnonzero(gaps[1:] != gaps[:-1])
+    return Ranges(raw).hash(edges[::2], edges[1::2])
 
 
 def shingles(text: bytes) -> np.ndarray:
     """Sorted distinct hashes of all runs of WORDS words; of all words if there are fewer."""
-    words = text.lower().split()
-    codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    codes = _word_codes(text)
     size = min(WORDS, len(codes))
     if not size:
         return codes
     n = len(codes) - size + 1
-    mixed = np.full(n, size, np.uint64)
-    for k in range(size):
-        mixed = _mix(mixed * _M3 + codes[k : k + n])
-    return np.unique(mixed)
+    # Word hashes are random already: a sum with one odd factor for each place, mixed once.
+    mixed = codes[:n] * _PLACES[0]
+    for k in range(1, size):
+        mixed += codes[k : k + n] * _PLACES[k]
+    mixed = np.sort(_mix(mixed + np.uint64(size)))
+    fresh = np.empty(n, bool)
+    fresh[0] = True
+    np.not_equal(mixed[1:], mixed[:-1], out=fresh[1:])
+    return mixed[fresh]
 
 
 def vertex(found: np.ndarray) -> int:
@@ -201,6 +205,17 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that sketches allow to link. Columns a, b, na, nb, sa, sb."""
+    for batch in batches:
+        keep = []
+        for x, y, s, t in zip(*(c.to_pylist() for c in batch.columns[2:])):
+            size = min(len(s), len(t))
+            apart = np.bitwise_count(_folded(s, size) ^ _folded(t, size)).sum(dtype=np.int64)
+            keep.append(bool(apart <= (x + y) // DIFFER))
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted: the text of a hub, then the texts to compare with it. A text that
     another row with the same id has is told by its vertex."""
@@ -296,15 +311,17 @@ class _Texts:
         )
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b) whose sizes allow a link."""
-        end = lambda x: self.vertices.select(F.col("_v").alias(x), F.col("_n").alias(f"n{x}"))
+        """Distinct pairs (a, b) whose sizes and sketches allow a link."""
+        end = lambda x: self.vertices.select(
+            F.col("_v").alias(x), F.col("_n").alias(f"n{x}"), F.col("_sketch").alias(f"s{x}")
+        )
         known = pairs.distinct().join(end("a"), "a").join(end("b"), "b")
         near = F.abs(F.col("na") - F.col("nb")) * DIFFER <= F.col("na") + F.col("nb")
-        return known.where(near).select("a", "b")
+        return known.where(near).select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_near, "a long, b long")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link. Comparisons with one text are dealt out in chunks."""
-        pairs = stored(self.candidates(pairs), "candidates")
+        pairs = stored(pairs.distinct(), "candidates")
         chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("_chunks"))
         dealt = pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("_chunks")))
         wanted = dealt.select("a", "b", "chunk").union(dealt.select("a", F.col("a").alias("b"), "chunk").distinct())
@@ -321,7 +338,7 @@ class _Texts:
         keys = self.docs.select("_text").mapInArrow(_keys, "key long, v long")
         met = keys.repartition(self.parts, "key").sortWithinPartitions("key", "v")
         members = stored(met.mapInArrow(_meet, "key long, a long, b long"), "block-members")
-        links = self.verified(members.select("a", "b"))
+        links = self.verified(self.candidates(members.select("a", "b")))
         while True:
             comps = components(links)
             known = comps.select(F.col("v").alias("a"), F.col("comp").alias("b"))
