@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Number of groups the rows without a key are spread over.
-NULL_GROUPS = 1024
-
 
 def left_join(
     left: DataFrame,
@@ -36,7 +33,7 @@ def left_join(
     condition = _all(left[l] == slim[k] for l, k in zip(on, keys))
     if spread_by is not None:
         has_key = _all(F.col(l).isNotNull() for l in on)
-        group = F.pmod(F.xxhash64(spread_by), F.lit(NULL_GROUPS))
+        group = F.xxhash64(spread_by)
         left = left.withColumn("_lg", F.when(has_key, F.lit(0)).otherwise(group))
         # Not a plain literal: the optimizer would fold it out of the join key.
         slim = slim.withColumn("_rg", F.when(F.col("_r0").isNotNull(), F.lit(0).cast("bigint")))

@@ -57,9 +57,9 @@ def record_versions(
     df: DataFrame, key: str, content: list[str], name: str = SNAPSHOT
 ) -> DataFrame:
     """For every record: in how many snapshots it appears, the first and the last
-    of them, and how many different contents it had."""
-    fingerprint = F.xxhash64(*[c for c in content])
-    seen = df.groupBy(key, fingerprint.alias("content")).agg(
+    of them, and how many different contents it had. Contents are compared by their
+    columns, NULL being a value like any other."""
+    seen = df.groupBy(key, F.struct(*content).alias("content")).agg(
         F.count(F.lit(1)).alias("n"), F.min(name).alias("lo"), F.max(name).alias("hi")
     )
     return seen.groupBy(key).agg(

@@ -23,13 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions import geometry as G
-from snapledger.operators.joins import NULL_GROUPS
-from snapledger.session import shared_dir
-
-# Largest prepared polygon side, in estimated bytes, that is broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-BYTES_PER_EDGE = 48
-BYTES_PER_CELL = 256
 
 # Cells are widened by this share of their size, so that a rounding difference
 # between floor(x / cell) and cell * column can never lose an edge.
@@ -136,15 +129,6 @@ def polygon_cells(polygons: DataFrame, geometry: str, keep: list[str], cell: flo
     return split.select(*keep, "_cx", "_cy", F.explode(edges).alias("_edges"))
 
 
-def cells_bytes(cells: DataFrame) -> int:
-    """Estimated size of a prepared polygon side, from its cells and edges."""
-    row = cells.agg(
-        F.count(F.lit(1)).alias("cells"),
-        F.coalesce(F.sum(F.size("_edges").cast("bigint")), F.lit(0)).alias("edges"),
-    ).first()
-    return row["cells"] * BYTES_PER_CELL + row["edges"] * BYTES_PER_EDGE
-
-
 def spatial_left_join(
     points: DataFrame,
     point: str,
@@ -152,31 +136,23 @@ def spatial_left_join(
     geometry: str,
     take: dict[str, str],
     cell: float,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """All points, with the columns ``take`` ({new name: polygon column}) of every
     polygon they lie strictly inside, or NULLs.
 
-    The prepared polygon side is written to the shared folder once and measured there.
-    Up to ``broadcast_bytes`` it is broadcast and the points do not move; beyond that
-    both sides are shuffled on the cell, and adaptive execution splits crowded cells.
+    Nothing runs while the join is defined. Whether the prepared polygon side is broadcast
+    or both sides are shuffled on the cell is left to Spark and its measured sizes.
     """
     spark = points.sparkSession
     # Boundary sets are small files with long outlines: use all cores to expand them.
     named = polygons.select(
         *[F.col(c).alias(n) for n, c in take.items()], F.col(geometry).alias("_geometry")
-    ).repartition(spark.sparkContext.defaultParallelism)
-    path = shared_dir(spark, "cells")
-    polygon_cells(named, "_geometry", list(take), cell).write.parquet(path)
-    cells = spark.read.parquet(path)
-    if cells_bytes(cells) <= broadcast_bytes:
-        cells = F.broadcast(cells)
-    else:
-        cells = cells.hint("merge")
+    ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cells = polygon_cells(named, "_geometry", list(take), cell)
     x, y = F.col(point)["lon"], F.col(point)["lat"]
     # Points without coordinates get columns no polygon reaches, many of them, so that
     # a shuffle does not send them all to one task.
-    nowhere = F.lit(NOWHERE) + F.pmod(F.xxhash64(*points.columns), F.lit(NULL_GROUPS))
+    nowhere = F.lit(NOWHERE) + F.shiftrightunsigned(F.xxhash64(*points.columns), 3)
     located = points.withColumns(
         {"_px": F.coalesce(_cell(x, cell), nowhere), "_py": F.coalesce(_cell(y, cell), F.lit(0))}
     )

@@ -47,13 +47,12 @@ def load(
     run_date: str | dt.date,
     paths: dict[str, str],
     root: str,
-    caps: dict[str, int] | None = None,
     infer_types: bool = False,
     multi_line_geojson: bool = True,
 ) -> None:
     """Land the given feeds (dataset name -> path) and bring them into the raw
     tables: incident feeds are appended, boundary sets are replaced."""
-    caps = schemas.ROW_CAPS if caps is None else caps
+    use_utc(spark)
     landing, tables_root = f"{root}/landing", f"{root}/raw"
     unknown = set(paths) - set(schemas.FEEDS) - set(schemas.BOUNDARIES)
     if unknown:
@@ -63,7 +62,7 @@ def load(
         if name in schemas.FEEDS:
             types = None if infer_types else schemas.FEEDS[name]
             landed = feed_io.csv_to_parquet(
-                spark, paths[name], landing, name, run_date, types, caps.get(name)
+                spark, paths[name], landing, name, run_date, types
             )
             rows = feed_io.read_landed(spark, landed)
             raw.append_snapshot(rows, f"{tables_root}/{name}", run_date)
@@ -100,6 +99,7 @@ def transform(
     with ``strict`` a failure stops the build before anything depends on it.
     ``current_boundaries`` uses only the newest version of each boundary set.
     """
+    use_utc(spark)
     build = Build()
     merged: set[str] = set()
 
@@ -115,8 +115,9 @@ def transform(
             raise DuplicateKeys(f"several source rows share one key in {', '.join(repeated)}")
         if strict:
             checks.enforce(found)
+        failed = {r[0] for r in found if r[3]}
         for name in names:
-            if name in KEYS:
+            if name in KEYS and name not in failed:
                 tables.mark_checked(spark, f"{root}/refined/{name}", run_date)
 
     def merge(name: str, source: DataFrame) -> DataFrame:
@@ -170,7 +171,7 @@ def run(
     """Load the feeds of a run date, then build and check everything."""
     use_utc(spark)
     load_options = {
-        k: options.pop(k) for k in ("caps", "infer_types", "multi_line_geojson") if k in options
+        k: options.pop(k) for k in ("infer_types", "multi_line_geojson") if k in options
     }
     load(spark, run_date, paths, root, **load_options)
     return transform(spark, run_date, root, **options)

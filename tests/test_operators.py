@@ -63,6 +63,12 @@ def test_history_and_versions(spark):
     assert (a.snapshot_count, a.version_count, str(a.first_snapshot), str(a.last_snapshot)) == (
         3, 2, "2024-01-01", "2024-01-15",
     )
+    moved = spark.createDataFrame(
+        [("a", None, 1.0, "2024-01-01"), ("a", 1.0, None, "2024-01-08")],
+        "k string, x double, y double, partition_date string",
+    )
+    found = snapshot.record_versions(moved, "k", ["x", "y"]).first()
+    assert (found.snapshot_count, found.version_count) == (2, 2)
     trail = snapshot.versions_of(df, F.col("k") == "a").collect()
     assert [r.v for r in trail] == [1, 1, 2]
 
@@ -248,23 +254,19 @@ def brute_force(points, polygons):
 
 
 @pytest.mark.parametrize("cell", [0.37, 1.0, 2.5, 50.0])
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_grid_join_equals_brute_force(points, polygons, brute_force, cell, limit):
-    got = spatial.spatial_left_join(points, "p", polygons, "g", {"name": "name"}, cell, limit)
-    assert got.columns == ["id", "p", "name"]
-    assert rows(got.select("id", "name")) == brute_force
-
-
-def test_brute_force_has_overlaps_and_misses(brute_force):
-    ids = [i for i, name in brute_force if name is not None]
-    assert len(ids) > len(set(ids)) and any(name is None for _, name in brute_force)
-
-
-def test_grid_join_is_an_equi_join(points, polygons):
-    for limit, join in [(10**9, "BroadcastHashJoin"), (0, "SortMergeJoin")]:
-        got = spatial.spatial_left_join(points, "p", polygons, "g", {"name": "name"}, 1.0, limit)
-        assert join in plan(got)
-        assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_grid_join_equals_brute_force(spark, points, polygons, brute_force, cell, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = spatial.spatial_left_join(points, "p", polygons, "g", {"name": "name"}, cell)
+        assert got.columns == ["id", "p", "name"]
+        assert rows(got.select("id", "name")) == brute_force
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert threshold != "-1" or "BroadcastHashJoin" not in plan
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_inside_cells_need_no_edges(spark):

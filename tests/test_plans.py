@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 # These run their jobs when they are called and return a stored result.
-STORED = {"batch_job", "mart_export", "scan_csv_capped", "snapshot_append"}
+STORED = {"batch_job", "mart_export", "scan_csv", "snapshot_append"}
 LAZY = sorted(set(entry.queries()) - STORED)
 
 

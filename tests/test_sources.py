@@ -57,19 +57,10 @@ def test_csv_that_does_not_fit_raises(spark, tmp_path):
         feeds.csv_to_parquet(spark, path, str(tmp_path), "x", "2024-01-01", "id bigint, n bigint")
 
 
-@pytest.mark.parametrize("cap, expected", [(None, 3), (3, 3), (2, 2)])
-def test_row_cap(spark, tmp_path, cap, expected):
+def test_all_rows_are_landed(spark, tmp_path):
     path = write(tmp_path / "feed.csv", CSV)
-    assert feeds.scan_csv(spark, path, cap=cap).count() == expected
-    landed = feeds.csv_to_parquet(spark, path, str(tmp_path / "l"), "feed", "2024-01-01", cap=cap)
-    assert spark.read.parquet(landed).count() == expected
-
-
-def test_no_global_limit_below_the_cap(spark, tmp_path):
-    path = write(tmp_path / "feed.csv", CSV)
-    below = feeds.scan_csv(spark, path, cap=3)._jdf.queryExecution().executedPlan().toString()
-    above = feeds.scan_csv(spark, path, cap=2)._jdf.queryExecution().executedPlan().toString()
-    assert "Limit" not in below and "Limit" in above
+    landed = feeds.csv_to_parquet(spark, path, str(tmp_path / "l"), "feed", "2024-01-01")
+    assert spark.read.parquet(landed).count() == 3
 
 
 def test_landing_path():

@@ -92,23 +92,18 @@ def last_of(df: DataFrame, date: str = I.LAST) -> DataFrame:
 
 
 @query(
-    "scan_csv_capped",
+    "scan_csv",
     " union all ".join(
-        f"select '{name}' as dataset, cast({cap} as bigint) as row_cap,"
-        f" cast(least(count(*), {cap}) as bigint) as row_count {O.last('raw_' + name)}"
-        for name, cap in schemas.ROW_CAPS.items()
+        f"select '{name}' as dataset, count(*) as row_count {O.last('raw_' + name)}"
+        for name in schemas.FEEDS
     ),
 )
-def scan_csv_capped(spark, sf):
+def scan_csv(spark, sf):
     parts = []
-    for name, cap in schemas.ROW_CAPS.items():
+    for name, types in schemas.FEEDS.items():
         path = I.write_csv_feed(spark, sf, name, shared_dir(spark, f"{name}-csv"))
-        rows = feeds.scan_csv(spark, path, schemas.FEEDS[name], cap)
-        parts.append(
-            rows.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("dataset"), F.lit(cap).cast("bigint").alias("row_cap"), "row_count"
-            )
-        )
+        rows = feeds.scan_csv(spark, path, types).agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(rows.select(F.lit(name).alias("dataset"), "row_count"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
