@@ -11,8 +11,8 @@ from snapledger.llm.common import stored
 def components(edges: DataFrame) -> DataFrame:
     """(v, comp) for every vertex of ``edges`` (a, b: long), comp being the smallest vertex
     that is reachable. Alternating large and small stars: every vertex points its larger
-    neighbours, then itself and its smaller ones, at its smallest neighbour, until nothing
-    changes. The number of rounds grows with the logarithm of the longest path; edges never
+    neighbours, then itself and its smaller ones, at its smallest neighbour, until all edges
+    lead from a vertex with no other edge to the smallest one. The number of rounds grows with the logarithm of the longest path; edges never
     leave Spark, each round is a stored table."""
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -25,16 +25,16 @@ def components(edges: DataFrame) -> DataFrame:
             out = out.union(least.where("u <> m").select(F.col("u").alias("a"), F.col("m").alias("b")))
         return stored(out.where("a <> b").distinct(), "stars")
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+    def settled(e: DataFrame) -> bool:
+        """Every vertex has one edge to a smaller one, or none and is the end of edges."""
+        ends = e.select(F.col("a").alias("v"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+            e.select("b", F.lit(0), F.lit(1))
+        )
+        return ends.groupBy("v").agg(F.sum("down").alias("n"), F.max("up").alias("up")).where("n + up > 1").isEmpty()
 
-    e = stored(edges.where("a <> b").select("a", "b").distinct(), "stars")
-    before = None
-    while True:
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    e = stored(e.distinct(), "stars")
+    while not settled(e):
         e = star(star(e, True), False)
-        now = mark(e)
-        if now == before or now[0] == 0:
-            break
-        before = now
     roots = e.select(F.col("b").alias("v"), F.col("b").alias("comp")).distinct()
     return stored(e.select(F.col("a").alias("v"), F.col("b").alias("comp")).union(roots), "components")

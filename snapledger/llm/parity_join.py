@@ -179,6 +179,27 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key. Those whose key has more than one row; most have not. The
+    last row of a batch is held until the next one is known."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        before = False
+        if held is not None:
+            key, v, before = np.concatenate((held[0], key)), np.concatenate((held[1], v)), held[2]
+        same = key[1:] == key[:-1]
+        as_before, as_after = np.concatenate(([before], same)), np.concatenate((same, [False]))
+        held = key[-1:], v[-1:], bool(as_before[-1])
+        keep = (as_before | as_after)[:-1]
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][keep]), pa.array(v[:-1][keep])], names=["key", "v"])
+    if held is not None and held[2]:
+        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["key", "v"])
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by key and vertex. Every member but the first of its key, once, with
     the first. Nothing is held but the last row and the first vertex of its key."""
@@ -278,7 +299,8 @@ def _tiles(nearest: bool):
 
         def flush() -> pa.RecordBatch:
             got = sorted(_tile_pairs(rows, nearest)) if len(rows) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            cols = [[rows[0]["key"]] * len(got), [g[0] for g in got], [g[1] for g in got]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "a", "b"])
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -336,19 +358,26 @@ class _Texts:
     def links(self) -> DataFrame:
         """Enough links that their components are those of all links."""
         keys = self.docs.select("_text").mapInArrow(_keys, "key long, v long")
-        met = keys.repartition(self.parts, "key").sortWithinPartitions("key", "v")
-        members = stored(met.mapInArrow(_meet, "key long, a long, b long"), "block-members")
+        # All rows are sorted by one number only; by vertex, too, only those that meet another.
+        met = keys.repartition(self.parts, "key").sortWithinPartitions("key").mapInArrow(_several, "key long, v long")
+        members = stored(
+            met.sortWithinPartitions("key", "v").mapInArrow(_meet, "key long, a long, b long"), "block-members"
+        )
         links = self.verified(self.candidates(members.select("a", "b")))
         while True:
             comps = components(links)
             known = comps.select(F.col("v").alias("a"), F.col("comp").alias("b"))
-            more = self.verified(self._across(members, comps, True))
+            pairs = self._across(members, comps, True)
+            more = self.verified(pairs.select("a", "b"))
+            # Components only grow, so a block without such a pair will not have one later.
+            members = members.join(pairs.select("key").distinct(), "key", "left_semi")
             if more.isEmpty():
-                return known.union(self.verified(self._across(members, comps, False)))
+                rest = self._across(members, comps, False)
+                return known.union(self.verified(rest.select("a", "b")))
             links = known.union(more)
 
     def _across(self, members: DataFrame, comps: DataFrame, nearest: bool) -> DataFrame:
-        """Pairs of different components that meet on a block and may link."""
+        """Pairs of different components that meet on a block and may link, with the block."""
         of = comps.select(F.col("v").alias("b"), F.col("comp").alias("_comp"))
         labelled = members.join(of, "b", "left").select("key", "a", "b", F.coalesce("_comp", "b").alias("comp"))
         several = labelled.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y"))
@@ -362,7 +391,7 @@ class _Texts:
         )
         rows = rows.join(self.vertices.select(F.col("_v").alias("v"), "_n", "_sketch"), "v")
         sorted_ = rows.repartition(self.parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "v")
-        return stored(sorted_.mapInArrow(_tiles(nearest), "a long, b long"), "tile-pairs")
+        return stored(sorted_.mapInArrow(_tiles(nearest), "key long, a long, b long"), "tile-pairs")
 
     def classes(self) -> DataFrame:
         """Vertex, component and the component's smallest id."""
