@@ -13,7 +13,11 @@ from snapledger.sources.folders import dated_values
 def append_snapshot(df: DataFrame, path: str, run_date: str | dt.date) -> None:
     """Add one full snapshot, stamped with its run date, to the history. Only the
     folder of this date is written, so running a date again replaces that snapshot
-    instead of doubling it, and no older file is touched."""
+    instead of doubling it, also by an empty one, and no older file is touched."""
+    if SNAPSHOT not in df.columns:
+        # All rows are of the run date.
+        df.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={_iso(run_date)}")
+        return
     (
         stamp_snapshot(df, run_date)
         .write.mode("overwrite")
@@ -23,6 +27,10 @@ def append_snapshot(df: DataFrame, path: str, run_date: str | dt.date) -> None:
     )
 
 
+def _iso(run_date: str | dt.date) -> str:
+    return dt.date.fromisoformat(str(run_date)).isoformat()
+
+
 def replace_snapshot(df: DataFrame, path: str, run_date: str | dt.date) -> None:
     """Throw the old content away and keep this snapshot only."""
     (

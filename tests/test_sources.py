@@ -203,3 +203,12 @@ def test_shared_dir_is_read_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert one.startswith(base) and one != two
+
+
+def test_empty_rerun_replaces_the_snapshot(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw.append_snapshot(frame(spark, "a"), path, "2024-01-01")
+    raw.append_snapshot(frame(spark, "a", "b"), path, "2024-01-08")
+    raw.append_snapshot(frame(spark, "a").where("false"), path, "2024-01-08")
+    assert raw.read_snapshot(spark, path).count() == 0
+    assert raw.read_raw(spark, path).count() == 1
