@@ -81,21 +81,23 @@ class ChecksFailed(RuntimeError):
 def report(frames: dict[str, DataFrame], checks: list[Check] = ALL_CHECKS) -> DataFrame:
     """``model, check, column, failures`` for every check whose model is given.
 
-    A column declared unique and not_null is grouped once for both. All other
-    not_null checks of a model share one pass that returns a single row, and the
-    remaining checks group or join on the checked column alone.
+    A model is read once for all checks on itself: its key is grouped (within the
+    snapshot, if that is what is declared), and the groups carry the counts of missing
+    values in the other columns. Only references take further passes, over keys alone.
     """
     checks = [c for c in checks if c.model in frames]
-    unique = {(c.model, c.column) for c in checks if c.kind == "unique"}
-    required = {(c.model, c.column) for c in checks if c.kind == "not_null"}
-    parts = [_key_counts(frames[m], m, column) for m, column in sorted(unique & required)]
+    parts, done = [], set()
     for model in dict.fromkeys(c.model for c in checks):
-        columns = sorted(col for m, col in required - unique if m == model)
-        if columns:
-            parts.append(_null_counts(frames[model], model, columns))
-    done = {(m, c, k) for m, c in unique & required for k in ("unique", "not_null")}
+        own = [c for c in checks if c.model == model]
+        keys = [c for c in own if c.kind in ("unique", "unique_id_partition")]
+        required = sorted(c.column for c in own if c.kind == "not_null")
+        if keys:
+            parts.append(_key_counts(frames[model], keys[0], required))
+            done.add(keys[0])
+        elif required:
+            parts.append(_null_counts(frames[model], model, required))
     for check in checks:
-        if check.kind != "not_null" and (check.model, check.column, check.kind) not in done:
+        if check.kind != "not_null" and check not in done:
             failures = _failures(check, frames)
             parts.append(_result(failures, check.model, check.kind, check.column))
     return reduce(DataFrame.unionByName, parts).select(*COLUMNS)
@@ -140,21 +142,35 @@ def _null_counts(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     )
 
 
-def _key_counts(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Rows without a value, and values held by several rows."""
-    missing, repeated = F.col("v").isNull(), F.col("v").isNotNull() & (F.col("n") > 1)
-    groups = df.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+def _key_counts(df: DataFrame, key: Check, required: list[str]) -> DataFrame:
+    """Values of the key held by several rows, and rows without a value in the required
+    columns, from one grouping by the key. Within a snapshot, rows without an id are a
+    group like any other."""
+    by_snapshot = key.kind == "unique_id_partition"
+    groups = df.groupBy(F.col(key.column).alias("v"), *([SNAPSHOT] if by_snapshot else [])).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(required)],
+    )
+    repeated = F.col("n") > 1
+    if not by_snapshot:
+        repeated = F.col("v").isNotNull() & repeated
+
+    def row(kind: str, column: str, failures):
+        return F.struct(
+            F.lit(kind).alias("check"), F.lit(column).alias("column"), failures.alias("failures")
+        )
+
     counts = groups.agg(
         F.array(
-            F.struct(
-                F.lit("not_null").alias("check"),
-                F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("failures"),
-            ),
-            F.struct(F.lit("unique").alias("check"), F.count_if(repeated).alias("failures")),
+            row(key.kind, key.column, F.count_if(repeated)),
+            *[
+                row("not_null", c, F.coalesce(F.sum(f"m{i}"), F.lit(0)))
+                for i, c in enumerate(required)
+            ],
         ).alias("counts")
     )
     return counts.select(F.inline("counts")).select(
-        F.lit(model).alias("model"), "check", F.lit(column).alias("column"), "failures"
+        F.lit(key.model).alias("model"), "check", "column", "failures"
     )
 
 

@@ -51,7 +51,8 @@ def load(
     multi_line_geojson: bool = True,
 ) -> None:
     """Land the given feeds (dataset name -> path) and bring them into the raw
-    tables: incident feeds are appended, boundary sets are replaced."""
+    tables: incident feeds are appended, boundary sets are replaced. A boundary set of
+    an earlier date than the stored one is landed, but does not replace it."""
     use_utc(spark)
     landing, tables_root = f"{root}/landing", f"{root}/raw"
     unknown = set(paths) - set(schemas.FEEDS) - set(schemas.BOUNDARIES)
@@ -67,12 +68,14 @@ def load(
             rows = feed_io.read_landed(spark, landed)
             raw.append_snapshot(rows, f"{tables_root}/{name}", run_date)
         else:
-            properties = schemas.BOUNDARIES[name]
             features = geojson.scan_geojson(spark, paths[name], multi_line_geojson)
+            properties = geojson.all_properties(features, schemas.BOUNDARIES[name])
             landed = feed_io.landing_path(landing, name, run_date)
             geojson.write_ndjson(geojson.flatten_features(features, properties), landed)
-            rows = geojson.read_ndjson(spark, landed, f"{properties}, geometry string")
-            raw.replace_snapshot(rows, f"{tables_root}/{name}", run_date)
+            path = f"{tables_root}/{name}"
+            if all(d <= str(run_date) for d in raw.snapshot_dates(spark, path)):
+                rows = geojson.read_ndjson(spark, landed, properties.add("geometry", "string"))
+                raw.replace_snapshot(rows, path, run_date)
 
     _all_at_once(load_one, list(paths))
 
@@ -92,7 +95,8 @@ def transform(
     current_boundaries: bool = False,
     cell: float = refined.CELL,
 ) -> Build:
-    """Build and check all layers from the newest raw snapshots up to the run date.
+    """Build and check all layers from the newest raw snapshots up to the run date. Raw
+    tables are checked with all their snapshots up to that date.
 
     Every refined table is written before the next one reads it, so a lost executor
     repeats tasks of one table and not the whole chain. Checks run layer by layer;
@@ -102,11 +106,12 @@ def transform(
     use_utc(spark)
     build = Build()
     merged: set[str] = set()
+    history: dict[str, DataFrame] = {}
 
     def check(*names: str) -> None:
         """Check tables, and let later runs see the ones that were stored."""
         wanted = [c for c in checks.ALL_CHECKS if c.model in names]
-        frames = {**{f"raw_{k}": v for k, v in build.raw.items()}, **build.refined}
+        frames = {**history, **build.refined}
         report = checks.with_mart_results(checks.report(frames, wanted))
         found = [tuple(row) for row in report.collect()]
         build.results += found
@@ -130,7 +135,11 @@ def transform(
         return build.refined[name]
 
     for name in staging.MODELS:
-        build.raw[name] = raw.read_snapshot(spark, f"{root}/raw/{name}", run_date)
+        path = f"{root}/raw/{name}"
+        # Only the newest boundary set is stored, so an earlier run date uses that, too.
+        as_of = None if name in schemas.BOUNDARIES else run_date
+        build.raw[name] = raw.read_snapshot(spark, path, as_of)
+        history[f"raw_{name}"] = raw.read_history(spark, path, as_of)
     check(*[f"raw_{name}" for name in staging.MODELS])
     staged = {name: staging.rename_and_type(build.raw[name], name) for name in staging.MODELS}
 
@@ -150,7 +159,12 @@ def transform(
     )
     check(*build.refined)
 
-    crashes = merge("refined_fact_crash", refined.fact_crash(staged["crash"]))
+    # A location in several boundaries of one kind has several rows. The keys can be
+    # computed in place only if there is none; else the crashes are joined with the rows.
+    enriched = "refined_dim_location_enriched"
+    several = any(r[:2] == (enriched, "unique") and r[3] for r in build.results)
+    places = build.refined[enriched] if several else None
+    crashes = merge("refined_fact_crash", refined.fact_crash(staged["crash"], locations=places))
     check("refined_fact_crash")
     vehicles = merge("refined_fact_vehicle", refined.fact_vehicle(staged["vehicle"], crashes))
     check("refined_fact_vehicle")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapledger.operators.snapshot import SNAPSHOT, ensure_column, stamp_snapshot
 from snapledger.sources.folders import dated_values
@@ -52,6 +53,14 @@ def snapshot_dates(spark: SparkSession, path: str) -> list[str]:
     return dated_values(spark, path, SNAPSHOT)
 
 
+def read_history(spark: SparkSession, path: str, as_of: str | dt.date | None = None) -> DataFrame:
+    """All snapshots (up to ``as_of``) with the columns of the newest of them. No footer
+    of an older file is opened to define it, and only the columns that are used are read."""
+    newest = read_snapshot(spark, path, as_of)
+    rows = spark.read.schema(newest.schema).parquet(path)
+    return rows if as_of is None else rows.where(F.col(SNAPSHOT) <= F.lit(str(as_of)).cast("date"))
+
+
 def read_snapshot(spark: SparkSession, path: str, as_of: str | dt.date | None = None) -> DataFrame:
     """The newest snapshot (up to ``as_of``). The date comes from the folder names
     and only that folder is opened: files of older snapshots are neither listed nor

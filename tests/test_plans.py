@@ -8,14 +8,14 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 # These run their jobs when they are called and return a stored result.
-STORED = {"batch_job", "mart_export", "scan_csv", "snapshot_append"}
-LAZY = sorted(set(entry.queries()) - STORED)
+STORED = {"batch_job", "batch_job_two_dates", "mart_export", "scan_csv", "snapshot_append"}
+LAZY = sorted(set(entry.QUERIES) - STORED)
 
 
 def initial_plan(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = entry.queries()[name](spark, SF)
+        df = entry.QUERIES[name](spark, SF)
         text = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -57,3 +57,14 @@ def test_people_fact_needs_three_joins(plans):
     text = plans["fact_people"]
     assert text.count("SortMergeJoin") == 3
     assert text.count("Exchange hashpartitioning") == 6
+
+
+def test_checks_read_a_model_once(spark):
+    """One pass for all checks on a model itself, two more keys-only sides a reference."""
+    from snapledger.plans import checks
+    from workload import inputs as I
+
+    frames = {f"raw_{n}": I.raw(spark, SF, n) for n in ("crash", "people", "vehicle")}
+    wanted = [c for c in checks.SOURCE_CHECKS if c.model in frames]
+    text = checks.report(frames, wanted)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") == 3 + 2 * 2, text

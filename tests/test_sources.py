@@ -119,6 +119,28 @@ def test_property_types(spark, tmp_path):
     }
 
 
+def test_all_properties(spark, tmp_path):
+    path = write(tmp_path / "f.geojson", json.dumps(FEATURES))
+    features = geojson.scan_geojson(spark, path)
+    schema = geojson.all_properties(features, "name string, absent int")
+    assert {f.name: f.dataType.simpleString() for f in schema} == {
+        "name": "string", "absent": "int", "n": "bigint", "x": "double", "ok": "string",
+        "none": "double", "odd": "string", "l": "string",
+    }
+    assert [f.name for f in schema][:2] == ["name", "absent"]
+    with pytest.raises(ValueError):
+        geojson.all_properties(features, "NAME string")
+
+
+def test_history_has_the_columns_of_the_newest_snapshot(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw.append_snapshot(frame(spark, "a"), path, "2024-01-01")
+    raw.append_snapshot(frame(spark, "b").withColumn("v", F.lit(1)), path, "2024-01-08")
+    raw.append_snapshot(frame(spark, "c"), path, "2024-01-15")
+    assert {r.k: r.v for r in raw.read_history(spark, path, "2024-01-08").collect()} == {"a": None, "b": 1}
+    assert sorted(r.k for r in raw.read_history(spark, path).collect()) == ["a", "b", "c"]
+
+
 def test_broken_geojson_raises(spark, tmp_path):
     path = write(tmp_path / "f.geojson", '{"features": [{"properties": {')
     with pytest.raises(Exception):

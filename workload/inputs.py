@@ -88,7 +88,8 @@ VEHICLE = {
 
 PEOPLE = {
     "person_id": "concat('P', cast(l_orderkey as string), '-', cast(l_linenumber as string), '-',"
-    " cast(l_partkey as string), '-', cast(l_suppkey as string))",
+    " cast(l_partkey as string), '-', cast(l_suppkey as string), '-',"
+    " cast(cast(l_shipdate as date) as string))",
     "person_type": _pick("l_linenumber", "DRIVER", "PASSENGER", "PEDESTRIAN", ""),
     "crash_record_id": "concat(case when l_partkey % 50 = 0 then 'X' else 'C' end,"
     " cast(l_orderkey as string))",

@@ -192,6 +192,27 @@ def geojson_flatten(spark, sf):
     return snapshot.stamp_snapshot(rows, I.LAST)
 
 
+@query(
+    "geojson_all_properties",
+    "select ward_id, globalid, ward, objectid, edit_date, st_length_, st_area_sh,"
+    " cast(ward_id as bigint) as whole, cast(ward_id as double) + 0.5 as half,"
+    " concat('{\"id\":', ward_id, '}') as nested, geometry from raw_ward",
+)
+def geojson_all_properties(spark, sf):
+    """Only the id is declared; all other properties are found and typed."""
+    path = I.write_geojson_feed(spark, sf, "ward", shared_dir(spark, "ward-geojson"))
+    features = geojson.scan_geojson(spark, path, multi_line=False)
+    number = F.get_json_object("properties", "$.ward_id")
+    more = [
+        F.lit(', "whole": '), number, F.lit(', "half": '), number, F.lit('.5, "nested": {"id": '),
+        number, F.lit("}}"),
+    ]
+    features = features.withColumn(
+        "properties", F.concat(F.expr("left(properties, length(properties) - 1)"), *more)
+    )
+    return geojson.flatten_features(features, geojson.all_properties(features, "ward_id string"))
+
+
 EVENT_PROPERTIES = (
     "concat('{\"event_id\": ', cast(event_id as string), ', \"kind\": \"', event_type,"
     " '\", \"value\": ', cast(value as string), ', \"ok\": ',"
@@ -768,13 +789,35 @@ def check_relationships(spark, sf):
     return quality.no_parent(people, "crash_record_id", crashes, "crash_record_id")
 
 
+# Raw tables with faults in an older snapshot: crashes that are there twice, and crashes
+# and people without an id.
+HISTORY = {"raw_crash": "crash_history", "raw_people": "people_history"}
+FAULTS = {
+    "crash_history": "select * from raw_crash union all select * replace"
+    " (case when injuries_total = 1 then null else crash_record_id end as crash_record_id)"
+    f" from raw_crash where partition_date = date '{I.SNAPSHOTS[0]}' and injuries_total in (1, 2)",
+    "people_history": "select * from raw_people union all select * replace (null as person_id)"
+    f" from raw_people where partition_date = date '{I.SNAPSHOTS[1]}' and age = 33",
+}
+
+
+def _histories(spark, sf) -> dict[str, DataFrame]:
+    frames = {f"raw_{name}": I.raw(spark, sf, name) for name in I.COLUMNS}
+    crash, people = frames["raw_crash"], frames["raw_people"]
+    no_id = F.when(F.col("injuries_total") != 1, F.col("crash_record_id"))
+    repeated = last_of(crash, I.SNAPSHOTS[0]).where("injuries_total in (1, 2)")
+    unnamed = last_of(people, I.SNAPSHOTS[1]).where("age = 33")
+    frames["raw_crash"] = crash.unionByName(repeated.withColumn("crash_record_id", no_id))
+    frames["raw_people"] = people.unionByName(unnamed.withColumn("person_id", F.lit(None).cast("string")))
+    return frames
+
+
 def _failures_sql(check: checks.Check) -> str:
     table = marts.MARTS.get(check.model, check.model)
     table = {"refined_ward": table, "refined_neighborhood": table}.get(
         table, table.removeprefix("refined_")
     )
-    current = table.startswith("raw_")
-    rows = f"(select * {O.last(table)})" if current else f"(select * from {table})"
+    rows = f"(select * from {HISTORY.get(table, table)})"
     if check.kind == "not_null":
         body = f"select count(*) from {rows} t where {check.column} is null"
     elif check.kind == "unique":
@@ -790,7 +833,7 @@ def _failures_sql(check: checks.Check) -> str:
     else:
         body = (
             f"select count(*) from {rows} t where {check.column} is not null and not exists"
-            f" (select 1 from {check.to} p where p.{check.field} = t.{check.column}"
+            f" (select 1 from {HISTORY.get(check.to, check.to)} p where p.{check.field} = t.{check.column}"
             " and p.partition_date = t.partition_date)"
         )
     return (
@@ -799,12 +842,14 @@ def _failures_sql(check: checks.Check) -> str:
     )
 
 
-@query("quality_report", " union all ".join(_failures_sql(c) for c in checks.ALL_CHECKS))
+@query("quality_report", " union all ".join(_failures_sql(c) for c in checks.ALL_CHECKS), FAULTS)
 def quality_report(spark, sf):
-    """All declared checks. The facts are stored before they are checked, as the next
-    one is built from them."""
-    frames = {f"raw_{name}": last_of(I.raw(spark, sf, name)) for name in I.COLUMNS}
-    staged_rows = {n: staging.rename_and_type(frames[f"raw_{n}"], n) for n in I.COLUMNS}
+    """All declared checks, raw tables with all their snapshots. The facts are stored
+    before they are checked, as the next one is built from them."""
+    frames = _histories(spark, sf)
+    staged_rows = {
+        n: staging.rename_and_type(last_of(frames[f"raw_{n}"]), n) for n in I.COLUMNS
+    }
     folder = shared_dir(spark, "checked")
 
     def store(name: str, df: DataFrame) -> DataFrame:
@@ -884,6 +929,31 @@ def fact_crash(spark, sf):
     return one(spark, sf, "refined_fact_crash")
 
 
+OVERLAP = {
+    "places": "select location_hkey, longitude, latitude from dim_location_enriched"
+    " union all select location_hkey, longitude, latitude from dim_location_enriched"
+    " where ward_id % 2 = 0",
+    "fanned": "select f.* from fact_crash f join staging_crash c on f.crash_id = c.crash_id"
+    " left join places l on c.location_longitude = l.longitude"
+    " and c.location_latitude = l.latitude",
+}
+
+
+@query("fact_crash_overlap", "select * from fanned", OVERLAP)
+def fact_crash_overlap(spark, sf):
+    """Every other ward has a second outline over it, so a crash there has two rows."""
+    crash = staged(spark, sf, "crash")
+    wards = refined.ward(staged(spark, sf, "ward"))
+    second = wards.where("ward_id % 2 = 0").withColumns(
+        {"ward_hkey": F.concat("ward_hkey", F.lit("-2")), "ward_id": F.col("ward_id") + 1_000_000}
+    )
+    hoods = refined.neighborhood(staged(spark, sf, "neighborhood"))
+    places = refined.dim_location_enriched(
+        refined.dim_location(crash), wards.unionByName(second), hoods, I.CELL
+    )
+    return refined.fact_crash(crash, locations=places)
+
+
 @query("fact_vehicle", "select * from fact_vehicle")
 def fact_vehicle(spark, sf):
     return one(spark, sf, "refined_fact_vehicle")
@@ -1027,3 +1097,77 @@ def _job(spark, sf, dates: list[str] = [I.LAST]) -> job.Build:
 def batch_job(spark, sf):
     """The people mart after the job for the last date has run from files."""
     return _job(spark, sf).marts["fact_people"]
+
+
+def _accumulated(keys: str, new: str, old: str) -> str:
+    return (
+        f"select * from ({new}) n union all select * from ({old}) o"
+        f" where not exists (select 1 from ({new}) n where n.{keys} = o.{keys})"
+    )
+
+
+def _vehicles(date: str, crashes: str) -> str:
+    vehicle_key = O.key("v.crash_unit_id", "c.crash_hkey", "v.vehicle_id")
+    return (
+        f"select {vehicle_key} as vehicle_hkey, v.vehicle_id, v.partition_date from raw_vehicle v"
+        f" left join {crashes} c on v.crash_record_id = c.crash_id"
+        f" where v.partition_date = date '{date}'"
+    )
+
+
+def _people(date: str, crashes: str, vehicles: str) -> str:
+    person_key = O.key("p.person_id", "c.crash_hkey", "v.vehicle_hkey")
+    return (
+        f"select {person_key} as person_hkey, p.partition_date from raw_people p"
+        f" left join {crashes} c on p.crash_record_id = c.crash_id"
+        f" left join {vehicles} v on p.vehicle_id = v.vehicle_id"
+        f" where p.partition_date = date '{date}'"
+    )
+
+
+def _places(date: str) -> str:
+    return (
+        f"select distinct {O.key('latitude', 'longitude')} as location_hkey from raw_crash"
+        f" where partition_date = date '{date}'"
+    )
+
+
+TWO_DATES = {
+    **REKEYED,
+    "vehicles_1": _vehicles(I.SNAPSHOTS[1], "tgt"),
+    "vehicles_2": _accumulated("vehicle_hkey", _vehicles(I.LAST, "merged"), "select * from vehicles_1"),
+    "people_2": _accumulated(
+        "person_hkey",
+        _people(I.LAST, "merged", "vehicles_2"),
+        _people(I.SNAPSHOTS[1], "tgt", "vehicles_1"),
+    ),
+    "places_2": _accumulated("location_hkey", _places(I.LAST), _places(I.SNAPSHOTS[1])),
+}
+TWO_DATES_KEYS = {
+    "fact_crash": ("crash_hkey", "merged"),
+    "fact_vehicle": ("vehicle_hkey", "vehicles_2"),
+    "fact_people": ("person_hkey", "people_2"),
+}
+
+
+@query(
+    "batch_job_two_dates",
+    " union all ".join(
+        f"select '{mart}' as mart, {key} as hkey, partition_date from {rows}"
+        for mart, (key, rows) in TWO_DATES_KEYS.items()
+    )
+    + " union all select 'dim_location' as mart, location_hkey as hkey, null as partition_date"
+    " from places_2",
+    TWO_DATES,
+)
+def batch_job_two_dates(spark, sf):
+    """Keys of the marts after the job has run for two dates: corrected crashes keep their
+    old rows, and everything that hangs on those."""
+    shown = _job(spark, sf, I.SNAPSHOTS[1:]).marts
+    parts = [
+        shown[mart].select(F.lit(mart).alias("mart"), F.col(key).alias("hkey"), "partition_date")
+        for mart, (key, _) in TWO_DATES_KEYS.items()
+    ]
+    none = F.lit(None).cast("date").alias("partition_date")
+    places = shown["dim_location"].select(F.lit("dim_location").alias("mart"), F.col("location_hkey").alias("hkey"), none)
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(places)
