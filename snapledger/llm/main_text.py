@@ -1,9 +1,11 @@
 """Main text of a web page: the maximum-scoring run of words and tags.
 
 A page is a sequence of words and tags. Words score positive, tags negative, by how often
-they stand outside the article in labelled pages; words inside links score negative as well.
-A region that is boilerplate by its markup has no words and counts as one tag. One linear
-scan finds the contiguous run with the largest sum; its words are the text.
+they stand outside the article in labelled pages; words inside links score negative as well, and
+a little so do words in elements whose class, id or role says boilerplate. An element that
+is boilerplate by its name has no words and counts as one tag, unless it is wrapped around
+the article. One linear scan finds the contiguous run with the largest sum; its words are
+the text. If marks leave a page without text, it is scanned without them.
 
 Labels are pages with exactly one ``article`` element. Tags are counted inside and outside
 of it by Spark, over a bounded sample of such pages; the weights are a table of at most as
@@ -15,6 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,6 +32,9 @@ LEAST_PENALTY, PENALTY, MOST_PENALTY = 0.05, 0.6, 4.0
 MOST_INLINE = 0.5  # tags inside a line, which articles have as well
 UNSEEN_PENALTY = 0.1
 LINK_WORD = -0.5
+MARKED_WORD = -0.25
+# An element around so much of a page without articles is a wrapper of its text.
+WRAPPER_SHARE = 0.8
 
 # --- fixed values: element and attribute names of HTML
 BLOCKS = frozenset(
@@ -38,15 +44,16 @@ BLOCKS = frozenset(
 )
 INLINE = frozenset("a abbr b bdi bdo br cite code data del em font i img ins kbd label mark q s small span strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Whole elements that are no article text.
+# Elements that are no article text, unless they are wrapped around it.
 NOISE = frozenset("aside button dialog footer form head header iframe menu nav noscript object option select svg template textarea".split())
-# The same by a word of their class, id or role.
+# Less likely article text: a class, id or role all of whose parts are such words.
 NOISE_WORDS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent contentinfo cookie "
     "cookies footer header masthead menu modal nav navbar navigation newsletter notice popup promo related reply "
     "search share sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
-KEPT = frozenset("html body main article".split())
+KEPT = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+ARTICLE = frozenset("article main".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -55,79 +62,118 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>])*?)(?:>|\Z)",
     re.S | re.I,
 )
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[a-z]+")
 
-# A token is (kind, name or text, marks of boilerplate): kinds are text, open and close.
+# A token is (kind, name or text, marks): kinds are text, open and close, marks are bits.
 TEXT, OPEN, CLOSE = 0, 1, 2
+NOISY, MARKED = 1, 2
 
 
-def tokens(page: str) -> list[tuple[int, str, bool]]:
+def tokens(page: str) -> list[tuple[int, str, int]]:
     """Text runs and tags in page order; comments, scripts, styles and declarations are left
     out, and so is a tag that the page ends within."""
     out, done = [], 0
     for m in _TOKEN.finditer(page):
         if m.start() > done:
-            out.append((TEXT, page[done : m.start()], False))
+            out.append((TEXT, page[done : m.start()], 0))
         done = m.end()
         if m[3]:
             name = m[3].lower()
-            if m[2]:
-                out.append((CLOSE, name, False))
-            else:
-                marked = bool(m[4]) and name not in KEPT and _is_noise(m[4])
-                out.append((OPEN, name, marked or name in NOISE))
+            out.append((CLOSE, name, 0) if m[2] else (OPEN, name, _marks(name, m[4])))
     if done < len(page):
-        out.append((TEXT, page[done:], False))
+        out.append((TEXT, page[done:], 0))
     return out
 
 
-def _is_noise(attributes: str) -> bool:
-    return any(
-        not NOISE_WORDS.isdisjoint(_PART.findall(next(filter(None, m.groups()), "").lower()))
-        for m in _MARKS.finditer(attributes)
-    )
+def _marks(name: str, attributes: str) -> int:
+    marks = NOISY if name in NOISE else 0
+    for m in _ATTRIBUTE.finditer(attributes or ""):
+        if m[1].lower() in ("class", "id", "role") and name not in KEPT:
+            for token in (m[2] or m[3] or m[4] or "").lower().split():
+                parts = _PART.findall(token)
+                if parts and NOISE_WORDS.issuperset(parts):
+                    marks |= MARKED
+    return marks
 
 
-def _noise(found: list[tuple[int, str, bool]]) -> list[bool]:
-    """Whether each token lies in a boilerplate element. One that is never closed ends where
-    an article or main element begins, or with the page."""
+def _ends(found: list[tuple[int, str, int]]) -> dict[int, int]:
+    """The last token of every element that is closed."""
     closed: dict[int, int] = {}
     open_: dict[str, list[int]] = {}
-    starts = [i for i, (kind, name, _) in enumerate(found) if kind == OPEN and name in ("article", "main")]
     for i, (kind, name, _) in enumerate(found):
         if kind == OPEN and name not in VOID:
             open_.setdefault(name, []).append(i)
         elif kind == CLOSE and open_.get(name):
             closed[open_[name].pop()] = i
-    out, end, k = [], -1, 0
-    for i, (_, name, noise) in enumerate(found):
-        while k < len(starts) and starts[k] <= i:
-            k += 1
-        if noise and i > end and name not in VOID:
-            end = closed.get(i, starts[k] - 1 if k < len(starts) else len(found))
-        out.append(i <= end)
+    return closed
+
+
+def _levels(found: list[tuple[int, str, int]]) -> list[int]:
+    """Per token: 2 in an element that is no article text, 1 where words score less, else 0.
+
+    What is wrapped around all articles, around most of their words, or, on a page without
+    an article or main element, around nearly all words, is neither; what holds fewer of
+    them has level 1, and so has what is never closed, up to the next article or main. The
+    header of an article belongs to it."""
+    closed = _ends(found)
+    starts = [i for i, (kind, name, _) in enumerate(found) if kind == OPEN and name in ARTICLE | {"body"}]
+    articles = [i for i in starts if found[i][1] in ARTICLE]
+    words, of_articles, inside, last = [0], [0], [], -1
+    for i, (kind, value, _) in enumerate(found):
+        if kind == OPEN and value in ARTICLE:
+            last = max(last, closed.get(i, len(found)))
+        n = len(value.split()) if kind == TEXT else 0
+        words.append(words[-1] + n)
+        of_articles.append(of_articles[-1] + (n if i <= last else 0))
+        inside.append(i <= last)
+    out, ends = [], [-1, -1, -1]
+    for i, (kind, name, marks) in enumerate(found):
+        if marks and name not in VOID and not (name == "header" and inside[i]):
+            level = 2 if marks & NOISY else 1
+            end = closed.get(i, len(found))
+            if i not in closed:
+                k = bisect_right(starts, i)
+                level, end = 1, starts[k] - 1 if k < len(starts) else end
+            end = min(end, len(found) - 1)
+            held = bisect_right(articles, end) - bisect_right(articles, i)
+            if bisect_right(starts, end) > bisect_right(starts, i):
+                around = held == len(articles) or 2 * (of_articles[end + 1] - of_articles[i]) > of_articles[-1]
+                level = 0 if around else 1
+            elif not articles and words[end + 1] - words[i] >= WRAPPER_SHARE * words[-1]:
+                level = 0
+            ends[level] = max(ends[level], end)
+        out.append(2 if i <= ends[2] else 1 if i <= ends[1] else 0)
     return out
 
 
-def main_text(page: str | None, penalties: dict[str, float]) -> str:
-    """Blocks of the best region, one per line; empty for a page without words."""
-    found = tokens(page or "")
-    noise = _noise(found)
+def _best(found: list, level: list[int], penalties: dict[str, float]) -> tuple[int, int]:
+    """The token range with the largest sum."""
     best, best_at, total, start, links = 0.0, (0, 0), 0.0, 0, 0
     for i, (kind, value, _) in enumerate(found):
-        if noise[i] and i and noise[i - 1]:
+        if level[i] == 2 and i and level[i - 1] == 2:
             continue
         if kind == TEXT:
-            total += len(value.split()) * (LINK_WORD if links else 1.0)
+            total += len(value.split()) * (LINK_WORD if links else MARKED_WORD if level[i] else 1.0)
         else:
-            if value == "a" and not noise[i]:
+            if value == "a" and level[i] < 2:
                 links = max(0, links + (1 if kind == OPEN else -1))
             total -= penalties.get(value, UNSEEN_PENALTY)
         if total > best:
             best, best_at = total, (start, i + 1)
         if total <= 0:
             total, start = 0.0, i + 1
+    return best_at
+
+
+def main_text(page: str | None, penalties: dict[str, float]) -> str:
+    """Blocks of the best region, one per line; empty for a page without words."""
+    found = tokens(page or "")
+    level = _levels(found)
+    best_at = _best(found, level, penalties)
+    if best_at == (0, 0) and 1 in level:
+        level = [x if x == 2 else 0 for x in level]
+        best_at = _best(found, level, penalties)
     blocks: list[list[str]] = [[]]
     for i in range(*best_at):
         kind, value, _ = found[i]
@@ -136,7 +182,7 @@ def main_text(page: str | None, penalties: dict[str, float]) -> str:
                 blocks.append([])
             elif value == "br":
                 blocks[-1].append(" ")
-        elif not noise[i]:
+        elif level[i] < 2:
             blocks[-1].append(value)
     lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
     return "\n".join(line for line in lines if line)

@@ -61,3 +61,18 @@ def test_edge_cases(spark):
     assert got[None, "u"][0] == WORDS
     assert got[4, "u"][0] == "\n".join([WORDS] * 20_000)
     assert X.extract_pages(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_wrappers_around_the_article_are_no_boilerplate():
+    body = f"<article><h1 class='article-header'>A title</h1><p>{WORDS}</p><p>{WORDS}</p></article>"
+    want = f"A title\n{WORDS}\n{WORDS}"
+    for wrapper in ("div class='no-sidebar'", "div class=has-header", "div class='content-sidebar-wrap'", "div class='x sidebar'",
+                    "form id='aspnetForm'", "header", "div data-id=ad", "section role=search", "div title='x class=ad'"):
+        tag = wrapper.split()[0]
+        assert text(f"<body><nav>menu here</nav><{wrapper}><p><a href=/>Home</a></p>{body}</{tag}><footer>c</footer></body>") == want, wrapper
+        assert text(f"<body><{wrapper}>{body.replace('article>', 'div>')}</{tag}></body>") == want, wrapper
+    assert text(f"<article><header><h1>A title</h1></header><p>{WORDS}</p></article>") == f"A title\n{WORDS}"
+    assert text(f"<article><p>{WORDS}</p><p class=notice>not lost</p><p>{WORDS}</p></article>") == f"{WORDS}\nnot lost\n{WORDS}"
+    assert text(f"<div class=widget><p>{WORDS}</p></div><div class=promo><p>{WORDS} more</p></div>") == f"{WORDS}\n{WORDS} more"
+    teaser = "<aside><article><p>teaser words</p></article></aside>"
+    assert text(f"{teaser}<article><p>{WORDS}</p></article>") == WORDS
