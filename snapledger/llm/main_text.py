@@ -55,6 +55,38 @@ NOISE_WORDS = frozenset(
 KEPT = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset("article main".split())
 
+# Elements whose ends follow from what contains them. All others, like b or form, may overlap.
+NESTED = (BLOCKS | NOISE) - VOID - {"form"}
+LISTS, ROWS = frozenset("ul ol menu dl".split()), frozenset("thead tbody tfoot".split())
+# Without an end tag, an element of the first names ends where one of the second begins, in the same one of the third.
+_SECTIONS = frozenset("article main section nav aside header footer blockquote table td th".split())
+SIBLINGS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
+    "li": (frozenset({"li"}), LISTS | _SECTIONS),
+    **dict.fromkeys(("dt", "dd"), (frozenset({"dt", "dd"}), LISTS | _SECTIONS)),
+    **dict.fromkeys(("td", "th"), (frozenset({"td", "th"}), frozenset({"tr", "table"}))),
+    "tr": (frozenset({"tr"}), frozenset({"table"})),
+    **dict.fromkeys(ROWS, (ROWS | {"tr"}, frozenset({"table"}))),
+    "option": (frozenset({"option"}), frozenset({"select"})),
+    "optgroup": (frozenset({"option", "optgroup"}), frozenset({"select"})),
+}
+# Tags at which a missing end tag is no fault.
+MAY_END = {
+    "li": {"li", "ul", "ol", "menu"},
+    **dict.fromkeys(("dt", "dd"), {"dt", "dd", "dl"}),
+    **dict.fromkeys(("td", "th"), {"td", "th", "tr", "table"} | ROWS),
+    "tr": {"tr", "table"} | ROWS,
+    **dict.fromkeys(ROWS, {"table"} | ROWS),
+    **dict.fromkeys(("option", "optgroup"), {"option", "optgroup", "select"}),
+}
+NO_P = BLOCKS - frozenset("html head body title legend option optgroup summary".split())
+IN_HEAD = frozenset("base link meta noscript object script style template title".split())
+# An end tag does not reach out of these.
+BOUNDS = frozenset("article caption main object table td template th".split())
+WHOLE = frozenset("article body head html main table".split())
+CELLS = ROWS | {"caption", "td", "th", "tr"}
+# An element that is never closed goes on over these only.
+ITEMS = LISTS | frozenset("dd dt li optgroup option hr".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style)\b.*?(?:</\1\s*>|\Z)"
@@ -67,7 +99,7 @@ _PART = re.compile(r"[a-z]+")
 
 # A token is (kind, name or text, marks): kinds are text, open and close, marks are bits.
 TEXT, OPEN, CLOSE = 0, 1, 2
-NOISY, MARKED = 1, 2
+NOISY, MARKED, LINK = 1, 2, 4
 
 
 def tokens(page: str) -> list[tuple[int, str, int]]:
@@ -89,6 +121,8 @@ def tokens(page: str) -> list[tuple[int, str, int]]:
 def _marks(name: str, attributes: str) -> int:
     marks = NOISY if name in NOISE else 0
     for m in _ATTRIBUTE.finditer(attributes or ""):
+        if name == "a" and m[1].lower() == "href":
+            marks |= LINK
         if m[1].lower() in ("class", "id", "role") and name not in KEPT:
             for token in (m[2] or m[3] or m[4] or "").lower().split():
                 parts = _PART.findall(token)
@@ -97,45 +131,103 @@ def _marks(name: str, attributes: str) -> int:
     return marks
 
 
-def _ends(found: list[tuple[int, str, int]]) -> dict[int, int]:
-    """The last token of every element that is closed."""
-    closed: dict[int, int] = {}
-    open_: dict[str, list[int]] = {}
-    for i, (kind, name, _) in enumerate(found):
-        if kind == OPEN and name not in VOID:
-            open_.setdefault(name, []).append(i)
-        elif kind == CLOSE and open_.get(name):
-            closed[open_[name].pop()] = i
-    return closed
+def _ends(found: list[tuple[int, str, int]]) -> tuple[dict[int, int], set[int], dict[int, int]]:
+    """The last token of every element that ends; the elements of which that is certain, by an
+    end tag or because none is needed there; and the end tags of links that hold blocks."""
+    ends: dict[int, int] = {}
+    sure: set[int] = set()
+    links: dict[int, int] = {}
+    stack: list[int] = []
+    places: dict[str, list[int]] = {}
+    loose: dict[str, list[tuple[int, int]]] = {}
+
+    def last(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    def end(place: int, i: int, by: str) -> None:
+        listed = last(LISTS) >= 0
+        while len(stack) > place:
+            k = stack.pop()
+            name = found[k][1]
+            places[name].pop()
+            ends[k] = i - 1
+            if name in ("p", "head") or by in MAY_END.get(name, ()) and (listed or name not in ("li", "dt", "dd")):
+                sure.add(k)
+
+    link = None
+    for i, (kind, name, marks) in enumerate(found):
+        if kind == OPEN:
+            if places.get("head") and name not in IN_HEAD:
+                end(places["head"][-1], i, name)
+            if name in NO_P and places.get("p") and places["p"][-1] > last(("button", "object", "table", "td", "template", "th")):
+                end(places["p"][-1], i, name)
+            if name in SIBLINGS:
+                names, within = SIBLINGS[name]
+                bound = last(within)
+                old = [places[n][-1] for n in names if places.get(n) and places[n][-1] > bound]
+                if old:
+                    end(min(old), i, name)
+            if name in NESTED:
+                places.setdefault(name, []).append(len(stack))
+                stack.append(i)
+            elif name not in VOID:
+                loose.setdefault(name, []).append((i, len(stack)))
+            if name == "a":
+                link = (i, len(stack), stack[-1] if stack else -1) if marks & LINK else None
+        elif kind == CLOSE and name in NESTED:
+            if places.get(name):
+                place = places[name][-1]
+                bounds = BOUNDS - {name} if name not in WHOLE | CELLS else {"table"} if name in CELLS else ()
+                if last(bounds) < place:
+                    k = stack[place]
+                    end(place + 1, i, name)
+                    end(place, i, name)
+                    ends[k] = i
+                    sure.add(k)
+        elif kind == CLOSE:
+            if name == "a" and link is not None:
+                at, depth, parent = link
+                if len(stack) >= depth and (stack[depth - 1] if depth else -1) == parent:
+                    if len(stack) == depth or found[stack[-1]][1] in ("p", "li", "dt", "dd"):
+                        links[at] = i
+                link = None
+            if loose.get(name):
+                k, depth = loose[name].pop()
+                if name not in INLINE or len(stack) >= depth and (not depth or stack[depth - 1] < k):
+                    ends[k] = i
+                    sure.add(k)
+    end(0, len(found), "")
+    return ends, sure, links
 
 
-def _levels(found: list[tuple[int, str, int]]) -> list[int]:
+def _levels(found: list[tuple[int, str, int]], elements: dict[int, int], sure: set[int]) -> list[int]:
     """Per token: 2 in an element that is no article text, 1 where words score less, else 0.
 
     What is wrapped around all articles, around most of their words, or, on a page without
     an article or main element, around nearly all words, is neither; what holds fewer of
-    them has level 1, and so has what is never closed, up to the next article or main. The
-    header of an article belongs to it."""
-    closed = _ends(found)
+    them has level 1. So has what is never closed, up to the next block, or, by its name, up
+    to one that is no list. The header of an article belongs to it."""
+    blocks = [i for i, (kind, name, _) in enumerate(found) if kind != TEXT and name in BLOCKS]
+    others = [i for i in blocks if found[i][0] == OPEN and found[i][1] not in ITEMS]
     starts = [i for i, (kind, name, _) in enumerate(found) if kind == OPEN and name in ARTICLE | {"body"}]
     articles = [i for i in starts if found[i][1] in ARTICLE]
     words, of_articles, inside, last = [0], [0], [], -1
     for i, (kind, value, _) in enumerate(found):
         if kind == OPEN and value in ARTICLE:
-            last = max(last, closed.get(i, len(found)))
+            last = max(last, elements.get(i, len(found)))
         n = len(value.split()) if kind == TEXT else 0
         words.append(words[-1] + n)
         of_articles.append(of_articles[-1] + (n if i <= last else 0))
         inside.append(i <= last)
     out, ends = [], [-1, -1, -1]
     for i, (kind, name, marks) in enumerate(found):
-        if marks and name not in VOID and not (name == "header" and inside[i]):
+        if marks & (NOISY | MARKED) and name not in VOID and not (name == "header" and inside[i]):
             level = 2 if marks & NOISY else 1
-            end = closed.get(i, len(found))
-            if i not in closed:
-                k = bisect_right(starts, i)
-                level, end = 1, starts[k] - 1 if k < len(starts) else end
-            end = min(end, len(found) - 1)
+            end = elements.get(i, len(found) - 1)
+            if i not in sure:
+                stops = others if marks & NOISY else blocks
+                k = bisect_right(stops, i)
+                level, end = 1, min(end, stops[k] - 1 if k < len(stops) else end)
             held = bisect_right(articles, end) - bisect_right(articles, i)
             if bisect_right(starts, end) > bisect_right(starts, i):
                 around = held == len(articles) or 2 * (of_articles[end + 1] - of_articles[i]) > of_articles[-1]
@@ -147,17 +239,20 @@ def _levels(found: list[tuple[int, str, int]]) -> list[int]:
     return out
 
 
-def _best(found: list, level: list[int], penalties: dict[str, float]) -> tuple[int, int]:
-    """The token range with the largest sum."""
-    best, best_at, total, start, links = 0.0, (0, 0), 0.0, 0, 0
-    for i, (kind, value, _) in enumerate(found):
+def _best(found: list, level: list[int], links: dict[int, int], penalties: dict[str, float]) -> tuple[int, int]:
+    """The token range with the largest sum. A link ends at the next anchor or block, unless
+    its end tag closes it around whole blocks."""
+    best, best_at, total, start, link, link_end = 0.0, (0, 0), 0.0, 0, False, -1
+    for i, (kind, value, marks) in enumerate(found):
         if level[i] == 2 and i and level[i - 1] == 2:
             continue
         if kind == TEXT:
-            total += len(value.split()) * (LINK_WORD if links else MARKED_WORD if level[i] else 1.0)
+            total += len(value.split()) * (LINK_WORD if link else MARKED_WORD if level[i] else 1.0)
         else:
             if value == "a" and level[i] < 2:
-                links = max(0, links + (1 if kind == OPEN else -1))
+                link, link_end = bool(marks & LINK), links.get(i, -1)
+            elif value in BLOCKS and i > link_end:
+                link = False
             total -= penalties.get(value, UNSEEN_PENALTY)
         if total > best:
             best, best_at = total, (start, i + 1)
@@ -169,11 +264,12 @@ def _best(found: list, level: list[int], penalties: dict[str, float]) -> tuple[i
 def main_text(page: str | None, penalties: dict[str, float]) -> str:
     """Blocks of the best region, one per line; empty for a page without words."""
     found = tokens(page or "")
-    level = _levels(found)
-    best_at = _best(found, level, penalties)
+    elements, sure, links = _ends(found)
+    level = _levels(found, elements, sure)
+    best_at = _best(found, level, links, penalties)
     if best_at == (0, 0) and 1 in level:
         level = [x if x == 2 else 0 for x in level]
-        best_at = _best(found, level, penalties)
+        best_at = _best(found, level, links, penalties)
     blocks: list[list[str]] = [[]]
     for i in range(*best_at):
         kind, value, _ = found[i]

@@ -76,3 +76,17 @@ def test_wrappers_around_the_article_are_no_boilerplate():
     assert text(f"<div class=widget><p>{WORDS}</p></div><div class=promo><p>{WORDS} more</p></div>") == f"{WORDS}\n{WORDS} more"
     teaser = "<aside><article><p>teaser words</p></article></aside>"
     assert text(f"{teaser}<article><p>{WORDS}</p></article>") == WORDS
+
+
+def test_missing_end_tags_do_not_cut_the_rest():
+    for first in ("<p class='notice'>x", "<li class='share'>x", "<div class=ad>x", "<aside>x", "<span class=ad>x", "<ul><li class=share>x</ul>",
+                  "<dl><dt class=share>x<dd>y</dl>", "<table><tr><td class=ad>x</table>", "<table class=ad><tr><td>x<tr><td>y</table>"):
+        got = text(f"<body><article><p>{WORDS}</p>{first}<p>{WORDS} middle</p><p>{WORDS} end</p></article><p>z</body>").split("\n")
+        assert got[0] == WORDS and f"{WORDS} middle" in got and f"{WORDS} end" in got, first
+    for anchor in ("<a name='top'>", "<a id='x'/>", "<a href=/>x", "<p><a href=/>x</p>", "<a href=/>x<a href=/y>y"):
+        assert text(f"{anchor}<article><p>{WORDS}</p><p>{WORDS} end</p></article>").endswith(f"{WORDS}\n{WORDS} end"), anchor
+    assert text(f"<article><p>{WORDS}</p></article><a href=/><div><p>linked card words</p></div></a>") == WORDS
+    assert text(f"<head><title>T t</title><body><p>{WORDS}</p>") == WORDS
+    assert text(f"<ul class=nav><li class=menu>one two<li>three four</ul><p>{WORDS}") == WORDS
+    page = "<p><i>" * 30_000 + "<b>" * 30_000 + "</i>x</div></b>" * 30_000
+    assert text(page).startswith("x")
