@@ -12,6 +12,7 @@ of all pages is one row there; the verdicts meet the pages over salted keys.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -29,12 +30,26 @@ RULES = (
 )
 SEED_SHARE = 0.5
 DAMPING = 0.85
-ROUNDS = 20
+# No score is further from its limit, in units of one seed.
 TOLERANCE = 1e-6
+# Relative precision of sums of doubles; nothing is asked to be closer.
+PRECISION = 1e-12
 RATIO = 1.0
 THRESHOLD = 0.05
 SALTS = 16
 
+
+def most_rounds(seeds: float, damping: float, tolerance: float) -> int:
+    """Rounds after which ``spread`` has met the tolerance. Every round shrinks the sum of all
+    changes, at most twice the seeds at first, by the damping; what is left to come is the
+    last sum times damping / (1 - damping)."""
+    if not 0 < damping < 1:
+        return 1
+    return 2 + math.ceil(math.log(tolerance * (1 - damping) / damping / (2 * seeds)) / math.log(damping))
+
+
+ROUNDS = most_rounds(1, DAMPING, TOLERANCE)
+
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -67,10 +82,14 @@ def host_edges(pages: DataFrame, host: Column, html: Column) -> DataFrame:
     return pairs.groupBy("_from", "_to").agg(F.count("*").alias("_links"))
 
 
-def spread(hosts: DataFrame, edges: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
-    """``hosts`` (_host, _trust0, _distrust0: starting shares, each adding up to 1 or 0) with
-    the stationary ``_trust`` and ``_distrust``. What a host without links would pass on goes
-    back to the seeds. Stops after ``rounds`` or when nothing moves by ``tolerance``."""
+def spread(hosts: DataFrame, edges: DataFrame, damping: float, tolerance: float) -> DataFrame:
+    """``hosts`` (_host, _trust0, _distrust0: 1 for a seed, else 0) with the stationary
+    ``_trust`` and ``_distrust``, in units of one seed. What a host without links would pass
+    on goes back to the seeds in equal parts. Iterates until no host can be further than
+    ``tolerance`` from its limit, whatever the number of seeds."""
+    good, bad = (float(x or 0) for x in hosts.agg(F.sum("_trust0"), F.sum("_distrust0")).first())
+    seeds = max(good + bad, 1.0)
+    tolerance = max(tolerance, PRECISION * seeds)
     gives = edges.groupBy("_from").agg(F.sum("_links").alias("_given"))
     takes = edges.groupBy("_to").agg(F.sum("_links").alias("_taken"))
     weighted = stored(
@@ -81,7 +100,7 @@ def spread(hosts: DataFrame, edges: DataFrame, damping: float, rounds: int, tole
     )
     state = stored(hosts.withColumns({"_trust": F.col("_trust0"), "_distrust": F.col("_distrust0")}), "host-scores")
     zero = F.lit(0.0)
-    for _ in range(rounds):
+    for _ in range(most_rounds(seeds, damping, tolerance)):
         on = weighted.join(state, weighted["_from"] == state["_host"]).select(
             F.col("_to").alias("_host"), (F.col("_trust") * F.col("_on")).alias("_t"), zero.alias("_d")
         )
@@ -91,7 +110,7 @@ def spread(hosts: DataFrame, edges: DataFrame, damping: float, rounds: int, tole
         moved = on.unionByName(back).groupBy("_host").agg(F.sum("_t").alias("_t"), F.sum("_d").alias("_d"))
         moved = stored(state.join(moved, "_host", "left").fillna(0.0, ["_t", "_d"]), "host-moved")
         sums = moved.agg(F.sum("_t"), F.sum("_d")).first()
-        lost_t, lost_d = (1 - (x or 0.0) for x in sums)
+        lost_t, lost_d = ((n - (x or 0.0)) / max(n, 1.0) for x, n in zip(sums, (good, bad)))
         new_t = (1 - damping) * F.col("_trust0") + damping * (F.col("_t") + F.col("_trust0") * lost_t)
         new_d = (1 - damping) * F.col("_distrust0") + damping * (F.col("_d") + F.col("_distrust0") * lost_d)
         step = stored(
@@ -99,16 +118,16 @@ def spread(hosts: DataFrame, edges: DataFrame, damping: float, rounds: int, tole
                          new_t.alias("_trust"), new_d.alias("_distrust")),
             "host-scores",
         )
-        change = step.agg(F.max(F.greatest(F.abs(F.col("_trust") - F.col("_t0")), F.abs(F.col("_distrust") - F.col("_d0"))))).first()[0]
+        change = step.agg(F.sum(F.abs(F.col("_trust") - F.col("_t0")) + F.abs(F.col("_distrust") - F.col("_d0")))).first()[0]
         state = step.drop("_t0", "_d0")
-        if change is None or change < tolerance:
-            break
-    return state
+        if (change or 0.0) * damping <= tolerance * (1 - damping):
+            return state
+    raise RuntimeError(f"trust and distrust did not settle: all scores together still move by {change}")
 
 
 def host_scores(
     seen: DataFrame, edges: DataFrame, seed_share: float = SEED_SHARE, damping: float = DAMPING,
-    rounds: int = ROUNDS, tolerance: float = TOLERANCE, ratio: float = RATIO, threshold: float = THRESHOLD,
+    tolerance: float = TOLERANCE, ratio: float = RATIO, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per host: trust, distrust, and ``_blocked``. ``seen`` has _host and _verdict (of a rule,
     or null) of every page; linked hosts without pages take part as well."""
@@ -127,12 +146,8 @@ def host_scores(
         ),
         "hosts",
     )
-    good, bad = (float(x or 0) for x in every.agg(F.sum("_good"), F.sum("_bad")).first())
-    seeds = every.select("_host", (F.col("_good") / max(good, 1.0)).alias("_trust0"), (F.col("_bad") / max(bad, 1.0)).alias("_distrust0"))
-    # In units of what one seed starts with, so that the threshold does not depend on their number.
-    scores = spread(seeds, edges, damping, rounds, tolerance).select(
-        "_host", (F.col("_trust") * max(good, 1.0)).alias("_trust"), (F.col("_distrust") * max(bad, 1.0)).alias("_distrust")
-    )
+    seeds = every.select("_host", F.col("_good").alias("_trust0"), F.col("_bad").alias("_distrust0"))
+    scores = spread(seeds, edges, damping, tolerance).select("_host", "_trust", "_distrust")
     return scores.withColumn("_blocked", (F.col("_distrust") >= threshold) & (F.col("_distrust") > ratio * F.col("_trust")))
 
 

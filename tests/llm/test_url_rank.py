@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from snapledger.llm import queries
 from snapledger.llm import url_rank as U
 
@@ -98,3 +100,21 @@ def test_registered_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     assert judged(queries.QUERIES["op5_url_filter"](spark, sf)) == brute(rows)
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_scores_do_not_depend_on_the_number_of_seeds(spark, copies):
+    """Chains of hosts that link to a blocked host, at a damping and a tolerance of few rounds."""
+    chain = spark.range(copies).selectExpr("id", "explode(sequence(0, 2)) as k")
+    edges = chain.selectExpr("concat('h', k + 1, '-', id) as _from", "concat('h', k, '-', id) as _to", "1L as _links")
+    seen = spark.range(copies).selectExpr("concat('h0-', id) as _host", "'block' as _verdict")
+    got = U.host_scores(seen, edges, damping=0.5, tolerance=0.01).collect()
+    assert len(got) == 4 * copies
+    for r in got:
+        want = 0.5 / (1 - 0.5**4) * 0.5 ** int(r["_host"][1])
+        assert abs(r["_distrust"] - want) <= 0.01 and r["_trust"] == 0 and r["_blocked"]
+
+
+def test_rounds_follow_from_the_tolerance():
+    assert U.most_rounds(1, 0.85, 1e-9) > U.most_rounds(1, 0.85, 1e-6) == U.ROUNDS
+    assert 2 * 10**6 * 0.85 ** (U.most_rounds(10**6, 0.85, 1e-6) - 1) * 0.85 / 0.15 <= 1e-6
