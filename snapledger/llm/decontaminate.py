@@ -115,8 +115,9 @@ class Automaton:
         self.length.append(length)
         return len(self.link) - 1
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Hit word ranges [start, end), merged, and the items with occurring windows."""
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int, int]], set[str]]:
+        """Hit word ranges [start, end), merged, each with 1 if it holds a whole item shorter
+        than the window, else 0; and the items with occurring windows."""
         none = ([], set())
         if len(words) < self.shortest:
             return none
@@ -126,7 +127,7 @@ class Automaton:
         long = ends - starts >= self.shortest
         if not long.any():
             return none
-        spans: list[tuple[int, int]] = []
+        spans: list[tuple[int, int, int]] = []
         names: set[str] = set()
         for start, end in zip(starts[long].tolist(), ends[long].tolist()):
             self._stream(codes[start:end].tolist(), start, spans, names)
@@ -144,21 +145,22 @@ class Automaton:
                 to = follow[state].get(c)
             state = to
             matched += 1
-            hit = 0
+            hit = whole = 0
             if matched >= window:
                 hit = matched
                 names |= self.found[self.anchor[state]]
             if short is not None:
                 for size, name in short[state]:
                     if size <= matched:
-                        hit = max(hit, size)
+                        hit, whole = max(hit, size), 1
                         if name is not None:
                             names.add(name)
             if hit:
                 start = end - hit
                 while spans and start <= spans[-1][1]:
-                    start = min(start, spans.pop()[0])
-                spans.append((start, end))
+                    first, _, held = spans.pop()
+                    start, whole = min(start, first), max(whole, held)
+                spans.append((start, end, whole))
 
 
 @lru_cache(maxsize=2)
@@ -200,11 +202,11 @@ _FOUND = T.StructType(
 
 def _merged(spans: list) -> list[list[int]]:
     out: list[list[int]] = []
-    for start, end in sorted(map(tuple, spans)):
+    for start, end, whole in sorted(map(tuple, spans)):
         if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
+            out[-1][1:] = max(out[-1][1], end), max(out[-1][2], whole)
         else:
-            out.append([start, end])
+            out.append([start, end, whole])
     return out
 
 
@@ -240,7 +242,8 @@ def match_items(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``docs`` with ``_n_words``, ``_spans`` (hit word ranges [start, end), merged and in
-    order) and ``_items`` (sorted ids, as strings, of items with an occurring window).
+    order, and 1 if a whole item shorter than the window is in it, else 0) and ``_items``
+    (sorted ids, as strings, of items with an occurring window).
 
     A window is ``window`` consecutive words of one item; an item with fewer words, but
     not none, is one window. Null and empty texts have no words, on either side. A null
@@ -255,16 +258,17 @@ def match_items(
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text_at: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Take the bytes of long enough hit spans out of the texts."""
+    """Take the bytes of hit spans that are long enough or hold a whole short item out of the
+    texts."""
     for batch in batches:
         texts = batch.column(text_at).to_pylist()
         for i, spans in enumerate(batch.column(batch.num_columns - 2).to_pylist()):
-            spans = [s for s in spans if s[1] - s[0] >= least]
+            spans = [s for s in spans if s[2] or s[1] - s[0] >= least]
             if spans:
                 raw = texts[i].encode()
                 at = [m.span() for m in _WORD.finditer(raw)]
                 kept, done = [], 0
-                for start, end in spans:
+                for start, end, _ in spans:
                     kept.append(raw[done : at[start][0]])
                     done = at[end - 1][1]
                 texts[i] = b"".join([*kept, raw[done:]]).decode()
@@ -282,10 +286,10 @@ def decontaminate(
     max_coverage: float = 0.5,
     **options,
 ) -> DataFrame:
-    """``docs`` without benchmark passages: hit spans of more than ``max_span`` words are
-    cut out of the text, and documents of which more than ``max_coverage`` of the words
-    are hit are dropped. Columns and clean rows are unchanged; nulls, empty texts and
-    repeated rows pass through. Empty tables give what they have."""
+    """``docs`` without benchmark passages: hit spans of more than ``max_span`` words, or
+    with a whole item shorter than the window, are cut out of the text, and documents of
+    which more than ``max_coverage`` of the words are hit are dropped. Columns and clean rows
+    are unchanged; nulls, empty texts and repeated rows pass through. Empty tables give what they have."""
     found = match_items(docs, items, text_col, window=window, **options)
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     at, schema = docs.columns.index(text_col), found.schema

@@ -1,7 +1,7 @@
 import re
 
 import corpus_pipeline as C
-from snapledger.llm import language_id, mixing
+from snapledger.llm import decontaminate, language_id, mixing
 from tests.llm import test_decontaminate, test_parity_join
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +67,24 @@ def test_edge_rows_in_every_stage(spark):
 def test_stages_use_the_dealt_operators():
     assert [n for n, _ in C.STAGES] == ["language ID", "exact dedup", "near duplicates", "decontamination", "mixing"]
     assert mixing.MAX_REPEATS > 1
+
+
+def test_whole_short_items_are_cut(spark, tmp_path):
+    item = "what is the largest prime known"
+    long = " ".join(f"w{i}" for i in range(14))
+    items = [(1, item), (2, long), (3, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = "only other words, " * 10
+    rows = [(1, clean + "What is the largest prime known? End"), (2, clean + "what is the largest prime. End"), (3, item),
+            (4, f"{clean}{item} {long}. End"), (5, f"{clean}{' '.join(long.split()[:9])} End")]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    got = {r.doc_id: (r.text, r.n_chars) for r in C.remove_benchmark(spark, d, str(tmp_path)).collect()}
+    want = {1: clean + "? End", 2: rows[1][1], 4: clean + ". End", 5: rows[4][1]}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+def test_short_items_of_other_blocks_are_cut(spark):
+    items = [(i, f"a{i} b{i} c{i}") for i in range(6)]
+    d = spark.createDataFrame([(1, "x " * 50 + "a0 b0 c0 a5 b5 c5 end", "en", "s", 1)], DOCS)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert decontaminate.decontaminate(d, b, block_words=12).first().text == "x " * 50 + " end"
