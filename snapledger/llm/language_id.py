@@ -17,13 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import ranges
 
 # Bounds of the sample the model is fitted on: rows, and characters of a piece of each.
 SAMPLE_ROWS = 2000
+LANGUAGE_ROWS = 20  # of each language at least, if there are so many of them that its part is less
 SAMPLE_CHARS = 2000
 
 BUCKETS = 1 << 16
@@ -97,17 +98,21 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[str], langs: list[str], seed: int = SEED) -> Model | None:
-    """Train on four fifths of the rows, calibrate on the others. None without a label."""
+    """Train on four fifths of the rows, and one of every label at least, calibrate on the
+    others. None without a label."""
     rows = [(normal(t), lang) for t, lang in zip(texts, langs) if has_letter(t)]
     labels = sorted({lang for _, lang in rows})
     if not labels:
         return None
     rng = np.random.default_rng(seed)
     rows = [rows[i] for i in rng.permutation(len(rows))]
-    kept_out = rows[: len(rows) // 5]
+    kept_out, used = rows[: len(rows) // 5], rows[len(rows) // 5 :]
+    missing = set(labels).difference(lang for _, lang in used)
+    used += [r for r in kept_out if r[1] in missing]
+    kept_out = [r for r in kept_out if r[1] not in missing]
     examples = [
         (text[i : i + SEGMENT], labels.index(lang))
-        for text, lang in rows[len(rows) // 5 :]
+        for text, lang in used
         for i in range(0, len(text), SEGMENT)
     ]
     embed = rng.uniform(-0.5, 0.5, (BUCKETS, DIM)).astype(np.float32) / DIM
@@ -152,25 +157,31 @@ def has_letter(text: str | None) -> bool:
 
 
 def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """At most SAMPLE_ROWS rows in the order of a hash, a piece of SAMPLE_CHARS characters
-    from anywhere in the text of each. The rows are counted first, and those whose hash is
-    too high to be among the lowest are left out where they are read, so that what is
-    sorted does not grow with the table."""
+    """Of every language an equal part of SAMPLE_ROWS rows, LANGUAGE_ROWS at least, in the
+    order of a hash, a piece of SAMPLE_CHARS characters from anywhere in the text of each.
+    Texts without a letter are left out, and of equal texts all but one. The rows of each
+    language are counted first, and those whose hash is too high to be among its lowest are
+    left out where they are read, so that what is sorted does not grow with the table."""
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit(SEED))
     room = F.greatest(F.length(text_col) - SAMPLE_CHARS, F.lit(0)) + 1
-    known = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    share = 4 * SAMPLE_ROWS / max(1, known.count())
-    if share < 1:
-        known = known.where(order < int(-(2**63) + share * 2**64))
-    return (
-        known.select(
-            F.col(lang_col).alias("_lang"),
-            F.substr(F.col(text_col), 1 + F.pmod(order, room).cast("int"), F.lit(SAMPLE_CHARS)).alias("_text"),
-            order.alias("_order"),
-        )
-        .orderBy("_order", "_lang", "_text")
-        .limit(SAMPLE_ROWS)
+    known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    counts = known.groupBy(F.col(lang_col).alias("_lang")).agg(F.count("*").alias("_n"), F.min(order).alias("_first")).collect()
+    rows = max(LANGUAGE_ROWS, SAMPLE_ROWS // max(1, len(counts)))
+    shares = {r["_lang"]: 4 * rows / r["_n"] for r in counts}
+    limits = {r["_lang"]: max(r["_first"], int(-(2**63) + shares[r["_lang"]] * 2**64)) for r in counts if shares[r["_lang"]] < 1}
+    if limits:
+        highest = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+        known = known.where(order <= F.coalesce(F.try_element_at(highest, F.col(lang_col)), F.lit(2**63 - 1)))
+    chosen = known.select(
+        F.col(lang_col).alias("_lang"),
+        F.substr(F.col(text_col), 1 + F.pmod(order, room).cast("int"), F.lit(SAMPLE_CHARS)).alias("_text"),
+        order.alias("_order"),
+        F.xxhash64(text_col).alias("_same"),
     )
+    once = chosen.groupBy("_lang", "_same").agg(F.min(F.struct("_order", "_text")).alias("_row")).select("_lang", "_row.*")
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_text"))
+    lowest = once.withColumn("_place", place).where(F.col("_place") <= rows)
+    return lowest.select("_lang", "_text", "_order").orderBy("_order", "_lang", "_text")
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:

@@ -58,3 +58,17 @@ def test_held_out_rows_are_not_learned_from(spark):
     docs = [(i, "abc def ghi", "secret" if i in held else "open", "", "") for i in range(400)]
     got = L.predict_languages(spark.createDataFrame(docs, DOCS)).select("lang_pred").distinct().collect()
     assert [r[0] for r in got] == ["open"]
+
+
+def test_rare_languages_are_learned(spark):
+    """9000 rows of one language, 8 of a rare one with copies and texts without letters, and one of a third."""
+    d = spark.range(9000).selectExpr("id as doc_id", "concat('the cat and the dog ', id) as text", "'en' as lang", "'' as score", "'' as _found")
+    ids = [i for i in range(10_000, 10_300) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rare = [(i, f"der hund und die katze {k}" if k < 8 else "der hund und die katze 0" if k < 100 else "12 ?", "de", "", "") for k, i in enumerate(ids)]
+    rare.append((next(i for i in range(20_000, 20_100) if zlib.crc32(str(i).encode()) % 4 != 2), "egy kutya meg egy macska", "hu", "", ""))
+    d = d.union(spark.createDataFrame(rare, DOCS))
+    got = L.sample(d.where(L.usable()), "doc_id", "text", "lang").collect()
+    n = {x: [r["_text"] for r in got if r["_lang"] == x] for x in ("en", "de", "hu")}
+    assert len(n["en"]) == L.SAMPLE_ROWS // 3 and len(n["hu"]) == 1
+    assert sorted(n["de"]) == [f"der hund und die katze {k}" for k in range(8)]
+    assert set(L.train(d.where(L.usable())).labels) == {"en", "de", "hu"}
