@@ -88,10 +88,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns."""
+    """The rows of ``docs`` that stay, with their own columns: those whose id and text are
+    kept, and of rows that agree in all columns one."""
     kept = exact_groups(docs, id_col, text_col).where("kept")
-    keys = kept.select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(keys, docs[id_col].eqNullSafe(keys["_id"]), "left_semi")
+    keys = stored(
+        kept.groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count("*").alias("_rows")),
+        "kept-texts",
+    )
+
+    def of(chosen: DataFrame) -> DataFrame:
+        same_text = F.sha2(normal_text(docs[text_col]), 256) == chosen["_sha"]
+        return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_id"]) & same_text, "left_semi")
+
+    # A table of its own, whose size says that there are few, so that texts are not shuffled for it.
+    repeated = stored(keys.where("_rows > 1"), "repeated-texts")
+    return of(keys.where("_rows = 1")).union(of(repeated).dropDuplicates())
 
 
 EXACT_SQL = r"""

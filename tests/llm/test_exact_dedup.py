@@ -54,3 +54,11 @@ def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     same, note = compare.compare(spark, compare.connect(sf), "op4_exact_dedup", sf)
     assert same, note
+
+
+def test_verdicts_hold_for_rows_with_null_or_repeated_ids(spark):
+    rows = [(None, "only here"), (None, "a  text"), (None, "a text"), (1, "a text"), (1, "other"), (0, "other"),
+            (5, "twice"), (5, "twice"), (5, "twice "), (None, None), (None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(None, "only here"), (1, "a text"), (0, "other"), (5, "twice"), (5, "twice "), (None, None)]
+    assert sorted(map(tuple, E.drop_exact(d).collect()), key=str) == sorted(want, key=str)
