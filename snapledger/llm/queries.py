@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapledger.llm import (
+    best_positions,
     decontaminate,
     exact_dedup,
     language_id,
@@ -14,6 +15,8 @@ from snapledger.llm import (
     mixing,
     parity_join,
     repeated_spans,
+    sorted_projections,
+    token_alignment,
     token_files,
     url_rank,
     warc_zip,
@@ -69,6 +72,18 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_best_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_positions.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sorted_projections.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in globals().items() if name.startswith("op")
 }
@@ -85,4 +100,4 @@ WARC_SQL = """
     from u
 """
 
-SQL: dict[str, str] = {"op2_mixing": mixing.MIX_SQL, "op3_warc": WARC_SQL, "op4_exact_dedup": exact_dedup.EXACT_SQL}
+SQL: dict[str, str] = {"op2_mixing": mixing.MIX_SQL, "op3_warc": WARC_SQL, "op4_exact_dedup": exact_dedup.EXACT_SQL, "op11_best_positions": best_positions.RANK_SQL}
