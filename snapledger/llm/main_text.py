@@ -4,7 +4,9 @@ A page is a sequence of words and tags. Words score positive, tags negative, by
 they stand outside the article in labelled pages; words inside links score negative as well, and
 a little so do words in elements whose class, id or role says boilerplate. An element that
 is boilerplate by its name has no words and counts as one tag, unless it is wrapped around
-the article. One linear scan finds the contiguous run with the largest sum; its words are
+the article. A container that is boilerplate by its class, id or role, such as an advert or
+the comments, is passed over: it neither ends the run nor belongs to the text, wherever it
+stands, as long as it is certain where it ends and it holds the lesser part of the words. One linear scan finds the contiguous run with the largest sum; its words are
 the text. If marks leave a page without text, it is scanned without them.
 
 Labels are pages with exactly one ``article`` element. Tags are counted inside and outside
@@ -52,6 +54,15 @@ NOISE_WORDS = frozenset(
     "cookies footer header masthead menu modal nav navbar navigation newsletter notice popup promo related reply "
     "search share sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+# In a class, id or role of several parts, the first or last of these says as much, given that
+# what it holds reads like it.
+HINTS = frozenset(
+    "ad ads advert advertisement adverts banner breadcrumb breadcrumbs consent cookie cookies menu nav navbar "
+    "navigation newsletter popup promo related sidebar social sponsor sponsored subscribe".split()
+)
+COMMENTS = frozenset("comment comments discussion respond".split())
+CONTAINERS = frozenset("div section ul ol dl table details figure".split())
+FEW_WORDS = 40  # an element with fewer words, or half of them in links, reads like boilerplate
 KEPT = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset("article main".split())
 
@@ -99,7 +110,7 @@ _PART = re.compile(r"[a-z]+")
 
 # A token is (kind, name or text, marks): kinds are text, open and close, marks are bits.
 TEXT, OPEN, CLOSE = 0, 1, 2
-NOISY, MARKED, LINK = 1, 2, 4
+NOISY, MARKED, LINK, HINTED, COMMENT = 1, 2, 4, 8, 16
 
 
 def tokens(page: str) -> list[tuple[int, str, int]]:
@@ -128,6 +139,8 @@ def _marks(name: str, attributes: str) -> int:
                 parts = _PART.findall(token)
                 if parts and NOISE_WORDS.issuperset(parts):
                     marks |= MARKED
+                ends = {*parts[:1], *parts[-1:]}
+                marks |= (HINTED if ends & HINTS else 0) | (COMMENT if ends & COMMENTS else 0)
     return marks
 
 
@@ -201,7 +214,8 @@ def _ends(found: list[tuple[int, str, int]]) -> tuple[dict[int, int], set[int],
 
 
 def _levels(found: list[tuple[int, str, int]], elements: dict[int, int], sure: set[int]) -> list[int]:
-    """Per token: 2 in an element that is no article text, 1 where words score less, else 0.
+    """Per token: 3 in a container that is passed over, 2 in an element that is no article
+    text, 1 where words score less, else 0.
 
     What is wrapped around all articles, around most of their words, or, on a page without
     an article or main element, around nearly all words, is neither; what holds fewer of
@@ -211,17 +225,31 @@ def _levels(found: list[tuple[int, str, int]], elements: dict[int, int], sure: s
     others = [i for i in blocks if found[i][0] == OPEN and found[i][1] not in ITEMS]
     starts = [i for i, (kind, name, _) in enumerate(found) if kind == OPEN and name in ARTICLE | {"body"}]
     articles = [i for i in starts if found[i][1] in ARTICLE]
-    words, of_articles, inside, last = [0], [0], [], -1
-    for i, (kind, value, _) in enumerate(found):
+    words, of_articles, linked, inside, last, link = [0], [0], [0], [], -1, False
+    for i, (kind, value, marks) in enumerate(found):
         if kind == OPEN and value in ARTICLE:
             last = max(last, elements.get(i, len(found)))
+        if kind != TEXT and value == "a":
+            link = bool(marks & LINK)
         n = len(value.split()) if kind == TEXT else 0
         words.append(words[-1] + n)
+        linked.append(linked[-1] + (n if link else 0))
         of_articles.append(of_articles[-1] + (n if i <= last else 0))
         inside.append(i <= last)
-    out, ends = [], [-1, -1, -1]
+
+    def passed_over(i: int, end: int, marks: int) -> bool:
+        held = words[end + 1] - words[i]
+        whole = of_articles[-1] if inside[i] else words[-1]
+        if bisect_right(starts, end) > bisect_right(starts, i) or 2 * held >= whole:
+            return False
+        reads_so = held < FEW_WORDS or 2 * (linked[end + 1] - linked[i]) >= held
+        return bool(marks & (MARKED | COMMENT)) or reads_so
+
+    out, ends = [], [-1, -1, -1, -1]
     for i, (kind, name, marks) in enumerate(found):
-        if marks & (NOISY | MARKED) and name not in VOID and not (name == "header" and inside[i]):
+        if marks & (MARKED | HINTED | COMMENT) and name in CONTAINERS and i in sure and passed_over(i, elements[i], marks):
+            ends[3] = max(ends[3], elements[i])
+        elif marks & (NOISY | MARKED) and name not in VOID and not (name == "header" and inside[i]):
             level = 2 if marks & NOISY else 1
             end = elements.get(i, len(found) - 1)
             if i not in sure:
@@ -235,7 +263,7 @@ def _levels(found: list[tuple[int, str, int]], elements: dict[int, int], sure: s
             elif not articles and words[end + 1] - words[i] >= WRAPPER_SHARE * words[-1]:
                 level = 0
             ends[level] = max(ends[level], end)
-        out.append(2 if i <= ends[2] else 1 if i <= ends[1] else 0)
+        out.append(next((k for k in (3, 2, 1) if i <= ends[k]), 0))
     return out
 
 
@@ -244,7 +272,7 @@ def _best(found: list, level: list[int], links: dict[int, int], penalties: dict[
     its end tag closes it around whole blocks."""
     best, best_at, total, start, link, link_end = 0.0, (0, 0), 0.0, 0, False, -1
     for i, (kind, value, marks) in enumerate(found):
-        if level[i] == 2 and i and level[i - 1] == 2:
+        if level[i] == 3 or level[i] == 2 and i and level[i - 1] == 2:
             continue
         if kind == TEXT:
             total += len(value.split()) * (LINK_WORD if link else MARKED_WORD if level[i] else 1.0)
@@ -267,13 +295,14 @@ def main_text(page: str | None, penalties: dict[str, float]) -> str:
     elements, sure, links = _ends(found)
     level = _levels(found, elements, sure)
     best_at = _best(found, level, links, penalties)
-    if best_at == (0, 0) and 1 in level:
+    if best_at == (0, 0) and {1, 3} & set(level):
         level = [x if x == 2 else 0 for x in level]
         best_at = _best(found, level, links, penalties)
     blocks: list[list[str]] = [[]]
     for i in range(*best_at):
         kind, value, _ = found[i]
-        if kind != TEXT:
+        if kind != TEXT or level[i] == 3:
+            value = value if kind != TEXT else "div"
             if value not in INLINE and blocks[-1]:
                 blocks.append([])
             elif value == "br":

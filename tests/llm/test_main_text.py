@@ -90,3 +90,24 @@ def test_missing_end_tags_do_not_cut_the_rest():
     assert text(f"<ul class=nav><li class=menu>one two<li>three four</ul><p>{WORDS}") == WORDS
     page = "<p><i>" * 30_000 + "<b>" * 30_000 + "</i>x</div></b>" * 30_000
     assert text(page).startswith("x")
+
+
+def test_marked_containers_are_passed_over():
+    """Adverts and comments, inside the article or next to it, break nothing off."""
+    first, second = f"{WORDS} first " * 8, f"{WORDS} second " * 8
+    lines = f"{' '.join(first.split())}\n{' '.join(second.split())}"
+    for block in ('<div class="ad">buy this now</div>', f'<section id="comments"><p>{WORDS}</p><p>{WORDS} more</p></section>',
+                  f'<div class="promo">{"promoted words " * 50}</div>', "<ul class='social-links'><li>one<li>two</ul>"):
+        assert text(f"<article><p>{first}</p>{block}<p>{second}</p></article>") == lines, block
+    for name in ("comment-list", "right-sidebar", "respond-wrap", "cookie-notice-bar"):
+        beside = f'<div class="{name}"><p>{WORDS}</p><p>{WORDS}</p></div>'
+        body = f"<p>{first}</p><p>{second}</p>"
+        assert text(f"<body>{beside}<article>{body}</article>{beside}</body>") == lines, name
+        assert text(f"<body><div>{beside}{body}{beside}</div></body>") == lines, name
+    # Wrappers, long text under a name of several parts, and what ends nowhere stay.
+    for name in ("has-sidebar", "no-sidebar", "ad-free", "main-nav-page"):
+        assert text(f'<div class="{name}"><article><p>{first}</p><p>{second}</p></article></div>') == lines, name
+        assert text(f'<div class="{name}"><p>{first}</p></div><div><p>{second}</p></div>') == lines, name
+    assert text(f"<article><div class=article-header>A title</div><p>{first}</p><p>{second}</p></article>") == f"A title\n{lines}"
+    assert "second" in text(f"<article><p>{first}</p><div class=ad>x<p>{second}</p></article>")
+    assert text(f"<div class=comments><p>{WORDS}</p></div>") == WORDS
