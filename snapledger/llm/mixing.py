@@ -41,6 +41,11 @@ def _hash(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
 
 
+def _deal(id_col: str, text_col: str) -> Column:
+    """What a document is dealt by: its id or, where that is null, its text."""
+    return _hash(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)))
+
+
 def bisect_exponent(
     totals: DataFrame, max_repeats: float | None = None, target_entropy: float | None = None
 ) -> float:
@@ -170,15 +175,15 @@ def mix(
     every document to be used at least once.
 
     Null and empty source names are one source, null texts have no tokens, a source without
-    tokens is used once. Repeated rows, and rows whose id is null, are dealt like others. An
-    empty table gives no rows.
+    tokens is used once. Rows that share an id go to one block; rows whose id is null are dealt
+    by their text. An empty table gives no rows.
     """
     rows = stored(
         docs.select(
             F.col(id_col).alias("_id"),
             source_name(F.col(source_col)).alias("_source"),
             word_count(F.col(text_col)).alias("_tokens"),
-            _hash(F.col(id_col)).alias("_hash"),
+            _deal(id_col, text_col).alias("_hash"),
         ),
         "token-counts",
     )
@@ -199,7 +204,7 @@ def weigh(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     first place. Documents outside the budget are left out; without one all stay."""
     options = {"block_tokens": BLOCK_TOKENS, "max_repeats": MAX_REPEATS, "target_entropy": None, "budget": None} | options
     rows = docs.withColumns(
-        {"_source": source_name(F.col(source_col)), "_hash": _hash(F.col(id_col))}
+        {"_source": source_name(F.col(source_col)), "_hash": _deal(id_col, text_col)}
     )
     narrow = stored(rows.select("_source", "_hash", word_count(F.col(text_col)).alias("_tokens")), "token-counts")
     sources, schedule = plan_blocks(narrow, **options)
@@ -213,7 +218,7 @@ def weigh(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 MIX_SQL = rf"""
     with t as (
-        select doc_id, coalesce(source, '') as source, md5(coalesce(doc_id::varchar, '')) as h,
+        select doc_id, coalesce(source, '') as source, md5(coalesce(doc_id::varchar, text, '')) as h,
             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n_tokens
         from documents
     ),

@@ -87,3 +87,10 @@ def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     same, note = compare.compare(spark, compare.connect(sf), "op2_mixing", sf)
     assert same, note
+
+
+def test_null_ids_are_dealt_over_blocks(spark):
+    """Half of the ids are null: blocks stay near their size."""
+    d = spark.range(4000).selectExpr("if(id % 2 = 0, null, id) as doc_id", "concat('some words of text ', id) as text", "'s' as source")
+    sizes = M.mix(d, block_tokens=1000).where("epoch = 0").groupBy("block").sum("n_tokens").collect()
+    assert len(sizes) == 20 and max(r[1] for r in sizes) < 1500
