@@ -23,12 +23,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, id_col: str) -> DataFrame:
+    """Stored rows: ``_row``, a number of its own for each, ``_key``, which sorts them by id
+    with null ids last and equal ids in any order, and ``_doc``, the columns. What is decided
+    by row number holds for that row alone, also where ids are null or repeat."""
+    row = F.monotonically_increasing_id()
+    rows = docs.select(row.alias("_row"), F.col(id_col).alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    key = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    return stored(rows, "numbered").select("_row", key.alias("_key"), "_doc")
+
+
 def text_bytes(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of every text, empty for null."""
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
-def ranges(texts: Sequence[bytes], limit: int) -> Iterator[tuple[int, int]]:
+def release() -> None:
+    """Give the memory of batches that are done back to the system. Python workers outlive
+    their stage, and what they keep is missing to the next ones."""
+    pa.default_memory_pool().release_unused()
+
+
+def ranges(texts: Sequence[bytes | str], limit: int) -> Iterator[tuple[int, int]]:
     """Cut a batch into index ranges whose texts have about ``limit`` bytes together, so
     that work arrays stay small. A longer text is a range of its own."""
     start, total = 0, 0

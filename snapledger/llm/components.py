@@ -18,7 +18,8 @@ def components(edges: DataFrame) -> DataFrame:
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.union(e.select("b", "a")) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         both = both.toDF("u", "w")
-        least = both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Stored, so that the edges of a vertex with many of them can be split in the join.
+        least = stored(both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         joined = both.join(least, "u")
         out = joined.where("w > u" if large else "w <> m").select(F.col("w").alias("a"), F.col("m").alias("b"))
         if not large:

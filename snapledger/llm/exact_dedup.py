@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import stored
+from snapledger.llm.common import numbered, stored
 
 # Runs merged into one in a round, as a power of two: 16.
 FAN_BITS = 4
@@ -88,21 +88,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns: those whose id and text are
-    kept, and of rows that agree in all columns one."""
-    kept = exact_groups(docs, id_col, text_col).where("kept")
-    keys = stored(
-        kept.groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count("*").alias("_rows")),
-        "kept-texts",
-    )
-
-    def of(chosen: DataFrame) -> DataFrame:
-        same_text = F.sha2(normal_text(docs[text_col]), 256) == chosen["_sha"]
-        return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_id"]) & same_text, "left_semi")
-
-    # A table of its own, whose size says that there are few, so that texts are not shuffled for it.
-    repeated = stored(keys.where("_rows > 1"), "repeated-texts")
-    return of(keys.where("_rows = 1")).union(of(repeated).dropDuplicates())
+    """The rows of ``docs`` that stay, with their own columns: of equal texts exactly one, with
+    the smallest id. Null ids come last, and of rows that share the smallest id any one stays,
+    whatever their other columns hold."""
+    rows = numbered(docs, id_col)
+    groups = exact_groups(rows.select("_key", F.col("_doc")[text_col].alias("_text")), "_key", "_text")
+    dropped = groups.where(~F.col("kept")).select(F.col("_key.row").alias("_row"))
+    return rows.join(dropped, "_row", "left_anti").select("_doc.*")
 
 
 EXACT_SQL = r"""

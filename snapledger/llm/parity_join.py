@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import stored, text_bytes
+from snapledger.llm.common import numbered, release, stored, text_bytes
 from snapledger.llm.components import components
 from snapledger.llm.repeated_spans import Ranges
 
@@ -159,9 +159,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((len(found), vertex(found), sketch(found) if len(found) else b""))
         n, v, s = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.binary())],
-            names=["_id", "_run", "_n", "_v", "_sketch"],
+            [batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.binary())],
+            names=["_id", "_text_hash", "_run", "_n", "_v", "_sketch"],
         )
+        release()
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +239,8 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted: the text of a hub, then the texts to compare with it. A text that
-    another row with the same id has is told by its vertex."""
+    """Rows come sorted: the text of a hub, then the texts to compare with it. Another text
+    with the id and the hash of the right one is told by its vertex."""
     hub, hub_set = None, None
     for batch in batches:
         hubs, others = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -315,23 +316,35 @@ def _tiles(nearest: bool):
 
 
 class _Texts:
-    """The documents, and per vertex its size, sketch and one document that has it."""
+    """The documents, and per vertex its size, sketch and smallest id."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         self.spark = docs.sparkSession
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-        sets = self.docs.select("_id", "_text", F.spark_partition_id().alias("_run")).mapInArrow(
-            _sets, "_id long, _run int, _n long, _v long, _sketch binary"
-        )
+        sets = self.docs.select(
+            "_id", "_text", F.xxhash64("_text").alias("_text_hash"), F.spark_partition_id().alias("_run")
+        ).mapInArrow(_sets, "_id long, _text_hash long, _run int, _n long, _v long, _sketch binary")
         self.rows = stored(sets, "shingle-sets")
         self.vertices = stored(
             self.rows.where("_n > 0").groupBy("_v").agg(
-                F.min("_id").alias("_id"), F.first("_n").alias("_n"), F.first("_sketch").alias("_sketch")
+                F.min("_id").alias("_id"),
+                F.first("_n").alias("_n"),
+                F.first("_sketch").alias("_sketch"),
+                F.min(F.struct("_id", "_text_hash")).alias("_of"),
             ),
             "vertices",
         )
 
+    def meeting(self, members: DataFrame) -> DataFrame:
+        """A text of every vertex that meets another one, once, spread by vertex. Rows that
+        share an id or have none are told apart by the hash of their text."""
+        v = members.select(F.col("a").alias("_v")).union(members.select("b")).distinct()
+        chosen = self.vertices.join(v, "_v").select("_v", "_of.*")
+        hashed = self.docs.withColumn("_text_hash", F.xxhash64("_text"))
+        same = hashed["_id"].eqNullSafe(chosen["_id"]) & (hashed["_text_hash"] == chosen["_text_hash"])
+        return stored(hashed.join(chosen, same).groupBy("_v").agg(F.first("_text").alias("_text")), "meeting-texts")
+
     def candidates(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) whose sizes and sketches allow a link."""
         end = lambda x: self.vertices.select(
@@ -347,8 +360,7 @@ class _Texts:
         chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("_chunks"))
         dealt = pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("_chunks")))
         wanted = dealt.select("a", "b", "chunk").union(dealt.select("a", F.col("a").alias("b"), "chunk").distinct())
-        named = wanted.join(self.vertices.select(F.col("_v").alias("b"), F.col("_id").alias("_of")), "b")
-        texts = named.join(self.docs, F.col("_of").eqNullSafe(F.col("_id"))).select("a", "b", "chunk", "_text")
+        texts = wanted.join(self.texts.withColumnRenamed("_v", "b"), "b").select("a", "b", "chunk", "_text")
         # The hub's own row first: it is the one whose vertices are equal.
         dealt_out = texts.repartition(self.parts, "a", "chunk").sortWithinPartitions(
             "a", "chunk", (F.col("a") != F.col("b")), "b"
@@ -363,6 +375,7 @@ class _Texts:
         members = stored(
             met.sortWithinPartitions("key", "v").mapInArrow(_meet, "key long, a long, b long"), "block-members"
         )
+        self.texts = self.meeting(members)
         links = self.verified(self.candidates(members.select("a", "b")))
         while True:
             comps = components(links)
@@ -426,8 +439,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns: of each component the one with the
-    smallest id (all rows that repeat it, if there are several), and all without words."""
-    groups = near_groups(docs, id_col, text_col)
-    kept = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
+    """The documents that stay, with their own columns: all without words, and of each
+    component exactly one, with the smallest id. Null ids come last, and of rows that share
+    the smallest id any one stays."""
+    rows = numbered(docs, id_col)
+    groups = near_groups(rows.select("_row", F.col("_doc")[text_col].alias("_text")), "_row", "_text")
+    of = stored(groups.where("n_shingles > 0").select("_row", F.col("component_id").alias("_component")), "components-of")
+    sizes = of.groupBy("_component").agg(F.count("*").alias("_size")).where("_size > 1").select("_component")
+    keyed = of.join(stored(sizes, "shared-components"), "_component").join(rows.select("_row", "_key"), "_row")
+    best = stored(keyed.groupBy("_component").agg(F.min("_key").alias("_best")), "kept-rows")
+    dropped = keyed.join(best, "_component").where(F.col("_key") != F.col("_best")).select("_row")
+    return rows.join(dropped, "_row", "left_anti").select("_doc.*")

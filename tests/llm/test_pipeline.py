@@ -88,3 +88,27 @@ def test_short_items_of_other_blocks_are_cut(spark):
     d = spark.createDataFrame([(1, "x " * 50 + "a0 b0 c0 a5 b5 c5 end", "en", "s", 1)], DOCS)
     b = spark.createDataFrame(items, "item_id long, text string")
     assert decontaminate.decontaminate(d, b, block_words=12).first().text == "x " * 50 + " end"
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Null and repeated ids: what is decided for a row holds for no other one."""
+    words = [f"w{i}" for i in range(60)]
+    near = lambda k: " ".join([*words[:-1], f"x{k}"])
+    rows = [(None, near(1), "en", "a", 1), (None, near(2), "en", "b", 1), (5, near(3), "en", "c", 1), (None, "alone here", "en", "d", 1),
+            (7, "alone too", "en", "e", 1), (7, near(4), "en", "f", 1), (None, None, None, None, None), (None, "", None, None, None)]
+    kept = C.drop_near_copies(spark, spark.createDataFrame(rows, DOCS).repartition(4), SF).collect()
+    assert sorted(r.source or "" for r in kept) == ["", "", "c", "d", "e"]
+    rows = [(1, "a b c", "en", "x", 1), (1, "a b  c", "de", "y", 1), (1, "a b c", "en", "x", 1), (None, "a b c", None, "z", 1),
+            (None, "null only", "en", "p", 1), (None, "null only", "de", "q", 1), (2, "null", "en", "r", 1), (2, "other", "en", "s", 1)]
+    kept = C.drop_exact_copies(spark, spark.createDataFrame(rows, DOCS).repartition(4), SF).collect()
+    assert sorted(r.text.split()[0] for r in kept) == ["a", "null", "null", "other"]
+    assert [r.doc_id for r in kept if r.text.startswith("a ")] == [1]
+
+
+def test_all_ids_null(spark):
+    """As many rows as texts, also where no id tells them apart."""
+    base = " ".join(f"v{i}" for i in range(80))
+    rows = [(None, f"{base} e{i % 40}", "en", "s", 1) for i in range(200)] + [(None, f"text number {i} only", "en", "s", 1) for i in range(50)]
+    d = spark.createDataFrame(rows, DOCS).repartition(5)
+    assert C.drop_near_copies(spark, d, SF).count() == 51
+    assert C.drop_exact_copies(spark, d, SF).count() == 90
