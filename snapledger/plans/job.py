@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapledger import schemas
 from snapledger.operators.snapshot import current_only
 from snapledger.operators.upsert import DuplicateKeys
-from snapledger.plans import checks, refined, staging
+from snapledger.plans import checks, history, refined, staging
 from snapledger.plans.marts import marts
 from snapledger.session import use_utc
 from snapledger.sources import feeds as feed_io
@@ -96,7 +96,8 @@ def transform(
     cell: float = refined.CELL,
 ) -> Build:
     """Build and check all layers from the newest raw snapshots up to the run date. Raw
-    tables are checked with all their snapshots up to that date.
+    tables are checked with all their snapshots up to that date; what was counted in an
+    unchanged snapshot by an earlier run is not counted again.
 
     Every refined table is written before the next one reads it, so a lost executor
     repeats tasks of one table and not the whole chain. Checks run layer by layer;
@@ -106,13 +107,12 @@ def transform(
     use_utc(spark)
     build = Build()
     merged: set[str] = set()
-    history: dict[str, DataFrame] = {}
+    attempts: dict[str, tables.Attempt] = {}
 
     def check(*names: str) -> None:
         """Check tables, and let later runs see the ones that were stored."""
         wanted = [c for c in checks.ALL_CHECKS if c.model in names]
-        frames = {**history, **build.refined}
-        report = checks.with_mart_results(checks.report(frames, wanted))
+        report = checks.with_mart_results(checks.report(build.refined, wanted))
         found = [tuple(row) for row in report.collect()]
         build.results += found
         repeated = [r[0] for r in found if r[1] == "unique" and r[3] and r[0] in merged]
@@ -122,16 +122,17 @@ def transform(
             checks.enforce(found)
         failed = {r[0] for r in found if r[3]}
         for name in names:
-            if name in KEYS and name not in failed:
-                tables.mark_checked(spark, f"{root}/refined/{name}", run_date)
+            if name in attempts and name not in failed:
+                attempts[name].mark_checked(spark)
 
     def merge(name: str, source: DataFrame) -> DataFrame:
         path = f"{root}/refined/{name}"
         if tables.read_version(spark, path, before=run_date) is not None:
             merged.add(name)
-        build.refined[name] = tables.merge_version(
+        attempts[name] = tables.write_attempt(
             source, path, KEYS[name], run_date, ORDER.get(name)
         )
+        build.refined[name] = attempts[name].read(spark)
         return build.refined[name]
 
     for name in staging.MODELS:
@@ -139,8 +140,12 @@ def transform(
         # Only the newest boundary set is stored, so an earlier run date uses that, too.
         as_of = None if name in schemas.BOUNDARIES else run_date
         build.raw[name] = raw.read_snapshot(spark, path, as_of)
-        history[f"raw_{name}"] = raw.read_history(spark, path, as_of)
-    check(*[f"raw_{name}" for name in staging.MODELS])
+    paths = {f"raw_{name}": f"{root}/raw/{name}" for name in staging.MODELS}
+    limits = {f"raw_{name}": run_date for name in schemas.FEEDS}
+    found = history.history_results(spark, paths, checks.SOURCE_CHECKS, f"{root}/checks/raw", limits)
+    build.results += found
+    if strict:
+        checks.enforce(found)
     staged = {name: staging.rename_and_type(build.raw[name], name) for name in staging.MODELS}
 
     independent = {

@@ -7,13 +7,26 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders and files directly below ``path``; none if it does not exist."""
+    return [s.getPath().getName() for s in _listing(spark, path)]
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; none if it does not exist."""
+    return [s.getPath().getName() for s in _listing(spark, path) if s.isDirectory()]
+
+
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and modification time of the data files directly below ``path``, by name."""
+    found = [s for s in _listing(spark, path) if s.isFile() and s.getPath().getName()[0] not in "._"]
+    return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found)
+
+
+def _listing(spark: SparkSession, path: str) -> list:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return list(fs.listStatus(folder)) if fs.exists(folder) else []
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -35,12 +48,6 @@ def dated_values(spark: SparkSession, path: str, column: str) -> list[str]:
 
 
 def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty marker file, or replace it."""
+    """Create an empty marker file; one that is there already stays an empty file."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
-
-
-def remove_marker(spark: SparkSession, path: str) -> None:
-    """Delete a marker file if it is there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False)

@@ -234,3 +234,58 @@ def test_empty_rerun_replaces_the_snapshot(spark, tmp_path):
     raw.append_snapshot(frame(spark, "a").where("false"), path, "2024-01-08")
     assert raw.read_snapshot(spark, path).count() == 0
     assert raw.read_raw(spark, path).count() == 1
+
+
+def test_repeated_dates_do_not_mix_with_older_attempts(spark, tmp_path):
+    """The newest attempt of a date holds, also while it is not checked."""
+    path = str(tmp_path / "table")
+    one = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    two = spark.createDataFrame([("c", 3)], "k string, v int")
+    for df, date in ((one, "2024-01-01"), (two, "2024-01-08")):
+        tables.merge_version(df, path, "k", date)
+        tables.mark_checked(spark, path, date)
+    assert pairs(tables.read_version(spark, path)) == [("a", 1), ("b", 2), ("c", 3)]
+    again = tables.write_attempt(one.where("k = 'a'"), path, "k", "2024-01-01")
+    assert tables.versions(spark, path) == ["2024-01-08"]
+    assert pairs(tables.merge_version(two, path, "k", "2024-01-08")) == [("c", 3)]
+    assert tables.versions(spark, path) == []
+    # Two attempts at a time: the one that began later holds, whichever is checked.
+    late = tables.write_attempt(one.where("k = 'b'"), path, "k", "2024-01-01")
+    again.mark_checked(spark)
+    assert tables.versions(spark, path) == []
+    late.mark_checked(spark)
+    assert pairs(tables.read_version(spark, path)) == [("b", 2)]
+
+
+@pytest.mark.parametrize("at", ["build", "kept", "written"])
+def test_a_crash_leaves_the_version_as_it_was(spark, tmp_path, monkeypatch, at):
+    path = str(tmp_path / "table")
+    rows = lambda *r: spark.createDataFrame(r, "k string, v int")
+    for df, date in ((rows(("a", 1), ("b", 2)), "2024-01-01"), (rows(("b", 3)), "2024-01-08")):
+        tables.merge_version(df, path, "k", date)
+        tables.mark_checked(spark, path, date)
+    before = pairs(tables.read_version(spark, path))
+    broken = rows(("b", 9))
+
+    def fail(*_, **__):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch:
+        if at == "build":  # while the rows are written: some files are there, no job commit
+            broken = broken.withColumn("v", F.raise_error(F.lit("crash")).cast("int"))
+        patch.setattr(tables, "kept_rows" if at == "kept" else "touch", fail)
+        with pytest.raises(Exception, match="crash"):
+            tables.write_attempt(broken, path, "k", "2024-01-08")
+    assert tables.versions(spark, path) == ["2024-01-01", "2024-01-08"]
+    assert pairs(tables.read_version(spark, path)) == before == [("a", 1), ("b", 3)]
+    # Readers of the old attempt are not disturbed by the next one.
+    old = tables.read_version(spark, path)
+    assert pairs(tables.merge_version(rows(("b", 9)), path, "k", "2024-01-08")) == [("a", 1), ("b", 9)]
+    assert pairs(old) == before
+    tables.mark_checked(spark, path, "2024-01-08")
+    assert pairs(tables.read_version(spark, path)) == [("a", 1), ("b", 9)]
+
+
+def test_marking_what_is_not_there_raises(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        tables.mark_checked(spark, str(tmp_path / "none"), "2024-01-01")
