@@ -99,6 +99,31 @@ def polygon_edges(polygon: Column) -> Column:
     return F.filter(edges, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
 
 
+def linked_edges(polygon: Column) -> Column:
+    """The edges of :func:`polygon_edges`, each with the corner before its start (x0, y0) and
+    the one after its end (x3, y3). Corners that repeat the one before them do not count."""
+
+    def same(p: Column, q: Column) -> Column:
+        return (p[0] == q[0]) & (p[1] == q[1])
+
+    def corners(r: Column) -> Column:
+        return _bind(
+            F.filter(r, lambda p, i: (i == 0) | ~same(p, F.get(r, i - 1))),
+            lambda c: F.slice(c, 1, F.size(c) - same(F.get(c, F.lit(0)), F.get(c, F.size(c) - 1)).cast("int")),
+        )
+
+    def edges(c: Column) -> Column:
+        def edge(a: Column, i: Column) -> Column:
+            n = F.size(c)
+            around = (c[(i + n - 1) % n], a, c[(i + 1) % n], c[(i + 2) % n])
+            return F.struct(*[p[k].alias(f"{x}{j}") for j, p in enumerate(around) for k, x in enumerate("xy")])
+
+        return F.transform(c, edge)
+
+    rings = F.filter(F.flatten(polygon["parts"]), lambda r: F.size(r) > 0)
+    return F.flatten(F.transform(F.filter(F.transform(rings, corners), lambda c: F.size(c) > 1), edges))
+
+
 def crosses_ray(edge: Column, x: Column, y: Column) -> Column:
     """Does the ray from (x, y) towards growing x cross the edge? The first test
     is half-open in y, so a shared vertex counts once, and it rules out level edges

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SNAPSHOT = "partition_date"
@@ -70,6 +70,41 @@ def record_versions(
     )
 
 
+def record_intervals(
+    df: DataFrame, key: str, content: list[str], name: str = SNAPSHOT
+) -> DataFrame:
+    """The versions of every record over time: the key, the content, ``valid_from`` and
+    ``valid_to`` (first and last snapshot of an unbroken run with that content),
+    ``snapshot_count``, and ``next_snapshot``, the one in which it was first gone or changed
+    (NULL for what is still there).
+
+    A content that comes back after another one, or after the record was missing from a
+    snapshot, is a version of its own. Snapshots are those of the whole table, so a snapshot
+    in which a record is missing is noticed. A record that repeats within a snapshot has
+    parallel versions, one for each content, and equal rows count once. NULL is a key and a
+    content like any other; rows without a snapshot date belong to none.
+
+    Runs are islands in the order of the snapshots: a record's versions are numbered by
+    snapshot, and as long as both numbers grow alike the run goes on. Only rows of one record
+    and content meet, one for each snapshot. The list of snapshots is one row.
+    """
+    dated = df.where(F.col(name).isNotNull())
+    snapshots = dated.agg(F.sort_array(F.collect_set(name)).alias("_all")).scalar()
+    seen = dated.select(F.col(key), F.struct(*content).alias("_content"), name).distinct()
+    of = Window.partitionBy(key, "_content").orderBy("_number")
+    islands = seen.withColumn("_number", F.array_position(snapshots, F.col(name)).cast("int")).withColumn(
+        "_island", F.col("_number") - F.row_number().over(of)
+    )
+    runs = islands.groupBy(key, "_content", "_island").agg(
+        F.min(name).alias("valid_from"),
+        F.max(name).alias("valid_to"),
+        F.count(F.lit(1)).alias("snapshot_count"),
+        F.max("_number").alias("_last"),
+    )
+    following = F.get(snapshots, F.col("_last")).alias("next_snapshot")
+    return runs.select(key, "_content.*", "valid_from", "valid_to", "snapshot_count", following)
+
+
 def versions_of(df: DataFrame, condition: Column, name: str = SNAPSHOT) -> DataFrame:
     """All snapshot rows of the chosen record(s), oldest first."""
     return df.where(condition).orderBy(name)

@@ -9,7 +9,7 @@ from snapledger.functions import calendar as D
 from snapledger.functions import cleanse as C
 from snapledger.functions.geometry import make_point, polygon_wkt
 from snapledger.functions.keys import location_key, surrogate_key
-from snapledger.operators.joins import left_join
+from snapledger.operators.joins import left_join, split_left_join
 from snapledger.operators.spatial import spatial_left_join
 
 # The category that means "nothing wrong", per flag.
@@ -118,7 +118,8 @@ def with_dimension_keys(
 ) -> DataFrame:
     """Add ``date_hkey`` and ``location_hkey`` to staged crashes.
 
-    With the dimensions given they are looked up by two left joins. Both keys are
+    With the dimensions given they are looked up by two left joins, which split hot times
+    and places themselves, as dimensions are often not stored yet. Both keys are
     functions of crash columns, though, and dimensions built from the same crashes
     hold exactly one row for each value, so by default the keys are computed in
     place and the fact table is not shuffled at all. A crash without a time or
@@ -129,7 +130,7 @@ def with_dimension_keys(
         t = F.col("crash_datetime")
         crash = crash.withColumn("date_hkey", F.when(t.isNotNull(), surrogate_key(t)))
     else:
-        crash = left_join(
+        crash = split_left_join(
             crash,
             dates,
             {"crash_datetime": "crash_datetime"},
@@ -141,7 +142,7 @@ def with_dimension_keys(
             "location_hkey",
             F.when(lat.isNotNull() & lon.isNotNull(), location_key(lat, lon)),
         )
-    return left_join(
+    return split_left_join(
         crash,
         locations,
         {"location_longitude": "longitude", "location_latitude": "latitude"},

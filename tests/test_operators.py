@@ -73,6 +73,32 @@ def test_history_and_versions(spark):
     assert [r.v for r in trail] == [1, 1, 2]
 
 
+def test_record_intervals(spark):
+    """A, B, A; a record that vanishes and returns; NULLs and repeated rows."""
+    values = [
+        ("r", "A", 1), ("r", "B", 2), ("r", "A", 3), ("r", "A", 4),
+        ("s", "A", 1), ("s", "A", 2), ("s", "A", 4),
+        ("t", None, 2), ("t", None, 3), (None, "N", 4),
+        ("u", "A", 3), ("u", "A", 3), ("u", "B", 3),
+    ]
+    day = lambda n: None if n is None else f"2024-01-{7 * n + 1:02d}"
+    df = spark.createDataFrame([(k, v, day(n)) for k, v, n in values], "k string, v string, d string").select(
+        "k", "v", F.col("d").cast("date").alias("partition_date")
+    )
+    undated = df.limit(1).withColumn("partition_date", F.lit(None).cast("date"))
+    got = snapshot.record_intervals(df.unionByName(undated), "k", ["v"])
+    assert got.columns == ["k", "v", "valid_from", "valid_to", "snapshot_count", "next_snapshot"]
+    want = [
+        ("r", "A", 1, 1, 1, 2), ("r", "B", 2, 2, 1, 3), ("r", "A", 3, 4, 2, None),
+        ("s", "A", 1, 2, 2, 3), ("s", "A", 4, 4, 1, None),
+        ("t", None, 2, 3, 2, 4), (None, "N", 4, 4, 1, None),
+        ("u", "A", 3, 3, 1, 4), ("u", "B", 3, 3, 1, 4),
+    ]
+    found = sorted([(r[0], r[1], *[x and str(x) for x in (r[2], r[3])], r[4], r[5] and str(r[5])) for r in got.collect()], key=repr)
+    assert found == sorted([(k, v, day(a), day(b), n, day(c)) for k, v, a, b, n, c in want], key=repr)
+    assert snapshot.record_intervals(df.limit(0), "k", ["v"]).count() == 0
+
+
 # --- joins ---------------------------------------------------------------------
 
 
@@ -145,6 +171,55 @@ def test_hot_key_partition_is_split(spark):
             spark.conf.unset(k)
 
 
+@pytest.mark.parametrize("pieces", [1, 8])
+def test_split_join_equals_left_join(spark, pieces):
+    left = spark.range(3000).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else concat('k', id % 40) end as k", "id % 2 as j"
+    )
+    right = spark.createDataFrame(
+        [("hot", 0, 1), ("hot", 0, 2), ("hot", 1, 3), ("k1", 1, 4), (None, 0, 5), ("k2", None, 6)], "k string, j bigint, v int"
+    )
+    on = {"k": "k", "j": "j"}
+    want = joins.left_join(left, right, on, {"w": "v"})
+    got = joins.split_left_join(left, right, on, {"w": "v"}, "id", pieces)
+    assert got.columns == want.columns and rows(got) == rows(want)
+    nothing = joins.split_left_join(left.limit(0), right, on, {"w": "v"}, "id")
+    assert nothing.count() == 0
+    alone = joins.split_left_join(left, right.limit(0), on, {"w": "v"}, "id", pieces)
+    assert alone.where("w is null").count() == 3000
+
+
+def test_split_join_deals_hot_keys_of_an_aggregate(spark):
+    """A time and a place with 30 % of the rows each: no task has over three times the rows
+    of the median one, and the right side is not stored."""
+    conf = _no_broadcast(spark, {"spark.sql.adaptive.enabled": "false"})
+    try:
+        left = spark.range(0, 80_000, 1, 8).selectExpr(
+            "id", "case when id % 10 < 3 then -1 when id % 10 < 6 then -2 else id end as k"
+        )
+        right = left.groupBy("k").agg(F.count("*").alias("n"))
+        joined = joins.split_left_join(left, right, {"k": "k"}, {"n": "n"}, "id", 8)
+
+        def per_task(df):
+            return sorted(r[1] for r in df.groupBy(F.spark_partition_id()).agg(F.count("n")).collect())
+
+        sizes = per_task(joined)
+        assert sum(sizes) == 80_000 and sizes[-1] <= 3 * sizes[len(sizes) // 2], sizes
+        plain = joins.left_join(left, right, {"k": "k"}, {"n": "n"}, spread_by="id")
+        assert per_task(plain)[-1] > 24_000
+        assert {r.n for r in joined.where("k < 0").collect()} == {24_000}
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_hot_keys_are_few_and_complete(spark):
+    df = spark.range(0, 50_000, 1, 8).selectExpr("case when id % 4 = 0 then null when id % 4 = 1 then 7 else id end as k")
+    found = joins.hot_keys(df, ["k"], 8).collect()
+    hot = spark.sql("select xxhash64(7L)").first()[0]
+    assert {r._hot: r._pieces for r in found}[hot] == 6 and len(found) <= joins.HOT_KEYS
+
+
 def test_missing_parent(spark):
     child = spark.createDataFrame(
         [(1, "a", "s1"), (2, None, "s1"), (3, "b", "s1"), (4, "a", "s2")], "id int, k string, s string"
@@ -279,6 +354,54 @@ def test_inside_cells_need_no_edges(spark):
     assert empty == {(x, y) for x in range(1, 9) for y in range(1, 9)}
 
 
+def test_parts_holes_and_repeated_corners(spark):
+    """Rings that touch at corners and along edges, holes, repeated and unclosed corners."""
+    ring = lambda *p: "[" + ", ".join(f"[{x}, {y}]" for x, y in p) + "]"
+    shapes = {
+        "hole": f"[[{ring((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))}, {ring((1, 1), (3, 1), (3, 3), (1, 3), (1, 1))}]]",
+        "parts": f"[[{ring((0, 0), (2, 0), (2, 2), (0, 2))}], [{ring((2, 2), (4, 2), (4, 4), (2, 4))}]]",
+        "bow": f"[[{ring((0, 0), (3, 3), (3, 0), (0, 3), (0, 0))}]]",
+        "repeats": f"[[{ring((0, 0), (0, 0), (3, 0.5), (3, 0.5), (3, 0.5), (1.5, 3), (0, 0), (0, 0))}]]",
+        "flat": f"[[{ring((0, 1), (3, 1), (0, 1))}]]",
+        "dot": f"[[{ring((1, 1), (1, 1))}]]",
+        "empty": "[]",
+    }
+    texts = [(n, '{"type": "MultiPolygon", "coordinates": ' + c + "}") for n, c in shapes.items()]
+    outlines = spark.createDataFrame(texts, "name string, t string").select(
+        "name", G.polygon_from_geojson(F.col("t")).alias("g")
+    )
+    spots = [(x / 4, y / 4) for x, y in itertools.product(range(-2, 19), repeat=2)]
+    grid = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)], "id int, x double, y double").select(
+        "id", G.make_point(F.col("x"), F.col("y")).alias("p")
+    )
+    want = rows(grid.join(F.broadcast(outlines), G.point_within(F.col("p"), F.col("g")), "left").select("id", "name"))
+    for cell in (0.25, 0.3, 1.0, 7.0):
+        got = spatial.spatial_left_join(grid, "p", outlines, "g", {"name": "name"}, cell)
+        assert rows(got.select("id", "name")) == want, cell
+
+
+def test_a_long_outline_is_prepared_by_several_tasks(spark):
+    """200,000 corners: no task has more than a part of the edges, no list holds them."""
+    n = 200_000
+    corner = "array(cos(2 * pi() * i / {n}) * (5 + sin(i / 50)), sin(2 * pi() * i / {n}) * (5 + sin(i / 50)))".format(n=n)
+    wide = spark.range(1).selectExpr(
+        "'w' as name", f"struct('Polygon' as type, array(array(transform(sequence(0, {n}), i -> {corner}))) as parts) as g"
+    )
+    spots = spark.range(0, 250).selectExpr("id", "struct(rand(3) * 14 - 7 as lon, rand(4) * 14 - 7 as lat) as p").cache()
+    want = rows(spots.join(wide, G.point_within(F.col("p"), F.col("g"))).select("id"))
+    for cell in (0.05, 0.11):
+        cells = spatial.polygon_cells(wide, "g", ["name"], cell)
+        dealt = cells.groupBy(F.spark_partition_id()).count().collect()
+        assert len(dealt) > 1
+        longest = cells.agg(F.max(F.size("_edges"))).first()[0]
+        assert longest < n / 20
+        got = spatial.spatial_left_join(spots, "p", wide, "g", {"name": "name"}, cell)
+        assert rows(got.where("name is not null").select("id")) == want
+    text = plan(cells)
+    assert "RoundRobinPartitioning" in text
+    assert all("_cx" in line for line in text.splitlines() if "collect_list" in line and "keys=" in line)
+
+
 # --- merge ---------------------------------------------------------------------
 
 

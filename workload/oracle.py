@@ -219,6 +219,48 @@ CTES = {
 }
 
 
+_NEWEST = re.compile(r"from (raw_\w+) where partition_date = \(select max\(partition_date\) from raw_\w+\)")
+# What a run builds from the incident feeds of its date, and what it merges into.
+_BUILT = ["staging_crash", "staging_people", "staging_vehicle", "dim_datetime", "dim_location"]
+_FACTS = ["fact_crash", "fact_vehicle", "fact_people"]
+
+
+def accumulated(dates: list[str]) -> dict[str, str]:
+    """The facts and dimensions after the job has run for the dates in turn, as expressions:
+    ``<name>_<n>`` is what run n builds, ``<name>_all_<n>`` the table after it. Vehicles and
+    people look up the crashes and vehicles of all runs so far. Places are accumulated before
+    they are enriched. The date dimension is built anew: with a missing crash time in it, no
+    version passes its check, so no run merges into one."""
+    texts = [c for c, e in I.CRASH.items() if e.startswith("case") and "'" in e or e.startswith("concat")]
+    empty = ", ".join(f"coalesce({c}, '') as {c}" for c in texts)
+    out: dict[str, str] = {"landed_crash": f"select * replace ({empty}) from raw_crash"}
+    keys = {"dim_location": "location_hkey", "fact_crash": "crash_hkey", "fact_vehicle": "vehicle_hkey", "fact_people": "person_hkey"}
+    for n, date in enumerate(dates, 1):
+        names = {b: f"{b}_{n}" for b in _BUILT}
+        names |= {f: f"{f}_all_{n}" for f in _FACTS}
+        for name in [*_BUILT, *_FACTS]:
+            text = _NEWEST.sub(rf"from \1 where partition_date = date '{date}'", CTES[name])
+            out[f"{name}_{n}"] = _renamed(text.replace("from raw_crash where", "from landed_crash where"), names)
+            if name in keys:
+                mine, key_column = f"{name}_{n}", keys[name]
+                rows = f"select * from {mine}"
+                if n > 1:
+                    rows += (
+                        f" union all select * from {name}_all_{n - 1} o where not exists"
+                        f" (select 1 from {mine} m where m.{key_column} is not distinct from o.{key_column})"
+                    )
+                out[f"{name}_all_{n}"] = rows
+    last_run = len(dates)
+    places = {"dim_location": f"dim_location_all_{last_run}", "in_ward": "in_ward_all", "in_area": "in_area_all"}
+    for name in ("in_ward", "in_area", "dim_location_enriched"):
+        out[f"{name}_all"] = _renamed(CTES[name], places)
+    return out
+
+
+def _renamed(text: str, names: dict[str, str]) -> str:
+    return re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: names[m[1]], text)
+
+
 def _needed(text: str) -> list[str]:
     """Names used by ``text``, directly or through each other, in defining order."""
     names: set[str] = set()

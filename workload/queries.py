@@ -14,8 +14,8 @@ from snapledger.functions import cleanse as C
 from snapledger.functions import geometry as G
 from snapledger.functions.keys import surrogate_key
 from snapledger.operators import joins, quality, snapshot, spatial, upsert
-from snapledger.plans import checks, job, marts, refined, reports, staging
-from snapledger.sources import feeds, geojson, raw
+from snapledger.plans import checks, history, job, marts, refined, reports, staging
+from snapledger.sources import feeds, geojson, raw, tables
 from workload import inputs as I
 from workload import oracle as O
 
@@ -91,20 +91,28 @@ def last_of(df: DataFrame, date: str = I.LAST) -> DataFrame:
 # --- feeds, landing, raw tables ------------------------------------------------
 
 
+def _csv_columns(name: str) -> str:
+    """The columns of a feed as its CSV files hold them: times in whole milliseconds, no
+    difference between empty and missing text."""
+    types = dict(part.split() for part in schemas.FEEDS[name].split(","))
+    shown = {"timestamp": "make_timestamp(({0} // 1000000) * 1000) as {0}", "string": "nullif({0}, '') as {0}"}
+    return ", ".join(shown.get(types[c], "{0}").format(c) for c in I.COLUMNS[name] if c != "partition_date")
+
+
 @query(
     "scan_csv",
-    " union all ".join(
-        f"select '{name}' as dataset, count(*) as row_count {O.last('raw_' + name)}"
-        for name in schemas.FEEDS
+    " union all by name ".join(
+        f"select '{name}' as dataset, {_csv_columns(name)} {O.last('raw_' + name)}" for name in schemas.FEEDS
     ),
 )
 def scan_csv(spark, sf):
+    """All rows and columns of the three feeds, read back from CSV files."""
     parts = []
     for name, types in schemas.FEEDS.items():
         path = I.write_csv_feed(spark, sf, name, shared_dir(spark, f"{name}-csv"))
-        rows = feeds.scan_csv(spark, path, types).agg(F.count(F.lit(1)).alias("row_count"))
-        parts.append(rows.select(F.lit(name).alias("dataset"), "row_count"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        parts.append(feeds.scan_csv(spark, path, types).withColumn("dataset", F.lit(name)))
+    together = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return together.unionByName(parts[2], allowMissingColumns=True)
 
 
 CRASH_TEXT = [
@@ -296,6 +304,32 @@ def record_versions(spark, sf):
 # --- casts and cleansing -------------------------------------------------------
 
 
+INTERVALS = {
+    "seen": "select distinct s.crash_record_id, s.road_defect, s.street_no, s.partition_date, d.n, d.nxt"
+    " from (select * from raw_crash where not (injuries_total = 2 and partition_date = date"
+    f" '{I.SNAPSHOTS[1]}')) s join (select partition_date, row_number() over (order by partition_date) as n,"
+    " lead(partition_date) over (order by partition_date) as nxt from (select distinct partition_date"
+    " from raw_crash) t) d on d.partition_date = s.partition_date",
+    "runs": "select *, n - row_number() over (partition by crash_record_id, road_defect, street_no order by n)"
+    " as island from seen",
+}
+
+
+@query(
+    "record_intervals",
+    "select crash_record_id, road_defect, street_no, min(partition_date) as valid_from,"
+    " max(partition_date) as valid_to, cast(count(*) as bigint) as snapshot_count,"
+    " arg_max_null(nxt, n) as next_snapshot from runs group by crash_record_id, road_defect, street_no, island",
+    INTERVALS,
+)
+def record_intervals(spark, sf):
+    """Versions of crashes over time; some crashes are missing from the second snapshot and
+    come back in the third."""
+    rows = I.raw(spark, sf, "crash")
+    missing = (F.col("injuries_total") == 2) & (F.col("partition_date") == F.lit(I.SNAPSHOTS[1]).cast("date"))
+    return snapshot.record_intervals(rows.where(~missing), "crash_record_id", ["road_defect", "street_no"])
+
+
 @query(
     "cast_int_rounding",
     "select l_orderkey, l_linenumber, l_partkey, cast(round((l_quantity - 25) / 2) as bigint) as half,"
@@ -534,7 +568,7 @@ def distinct_locations(spark, sf):
 )
 def left_join_dim(spark, sf):
     crash = staged(spark, sf, "crash").select("crash_id", "crash_datetime")
-    return joins.left_join(
+    return joins.split_left_join(
         crash,
         refined.dim_datetime(crash),
         {"crash_datetime": "crash_datetime"},
@@ -551,7 +585,7 @@ def left_join_dim(spark, sf):
 )
 def left_join_location(spark, sf):
     crash = staged(spark, sf, "crash").select("crash_id", "location_longitude", "location_latitude")
-    return joins.left_join(
+    return joins.split_left_join(
         crash,
         refined.dim_location(crash),
         {"location_longitude": "longitude", "location_latitude": "latitude"},
@@ -655,17 +689,17 @@ def make_point(spark, sf):
 @query(
     "point_within",
     """
-    select l.longitude, l.latitude, w.ward_id, i.k is not null as is_within
-    from dim_location l
-    join staging_ward w on w.ward_id = cast(floor(l.latitude) * 10 + floor(l.longitude) as bigint) + 1
-    left join in_ward i on i.x = l.longitude and i.y = l.latitude and i.k = w.ward_id""",
+    select p.longitude, p.latitude, p.ward_id, case when w.ward_id is not null then i.k is not null end as is_within
+    from (select *, cast(floor(latitude) * 10 + floor(longitude) as bigint) + 1 as ward_id from dim_location) p
+    left join staging_ward w on w.ward_id = p.ward_id
+    left join in_ward i on i.x = p.longitude and i.y = p.latitude and i.k = w.ward_id""",
 )
 def point_within(spark, sf):
-    """The exact test on pairs found by an ordinary join: each point with the ward
-    whose square it should be in."""
+    """The exact test on pairs found by an ordinary join: each point with the ward whose
+    square it should be in, or NULL where there is no such ward."""
     points = refined.dim_location(staged(spark, sf, "crash"))
     square = F.floor("latitude") * 10 + F.floor("longitude") + 1
-    pairs = points.withColumn("ward_id", square).join(staged(spark, sf, "ward"), "ward_id")
+    pairs = points.withColumn("ward_id", square).join(staged(spark, sf, "ward"), "ward_id", "left")
     within = G.point_within(F.col("location_point"), F.col("ward_geometry"))
     return pairs.select("longitude", "latitude", "ward_id", within.alias("is_within"))
 
@@ -702,6 +736,57 @@ def upsert_by_key(spark, sf):
     return upsert.upsert(target, source, "k")
 
 
+MERGES = {
+    "src": "select crash_record_id as k, road_defect as v, partition_date from raw_crash"
+    f" where partition_date = date '{I.LAST}'",
+    "tgt": "select case when injuries_total = 3 then concat('gone ', crash_record_id)"
+    " else crash_record_id end as k, road_defect as v, partition_date from raw_crash"
+    f" where partition_date = date '{I.SNAPSHOTS[1]}'",
+    "kept": "select t.k, t.v, t.partition_date from tgt t left join src on t.k = src.k where src.k is null",
+}
+
+
+@query(
+    "merge_repeated",
+    "select 'both checked' as state, * from src union all select 'both checked' as state, * from kept"
+    " union all select 'first repeated, not checked' as state, * from src"
+    " union all select 'first checked again' as state, * from src"
+    " union all select 'first checked again' as state, * from kept where v is not null",
+    MERGES,
+)
+def merge_repeated(spark, sf):
+    """A stored table after two run dates, after the first date was built again, smaller, but
+    not checked and the second one repeated, and after the first has been checked and the
+    second repeated once more. No state shows rows of an attempt that no longer holds."""
+    rows = I.raw(spark, sf, "crash")
+    gone = F.when(
+        F.col("injuries_total") == 3, F.concat(F.lit("gone "), F.col("crash_record_id"))
+    ).otherwise(F.col("crash_record_id"))
+    second = last_of(rows).select(F.col("crash_record_id").alias("k"), F.col("road_defect").alias("v"), "partition_date")
+    first = last_of(rows, I.SNAPSHOTS[1]).select(gone.alias("k"), F.col("road_defect").alias("v"), "partition_date")
+    path = shared_dir(spark, "merged")
+
+    def build(df, date, check):
+        attempt = tables.write_attempt(df, path, "k", date)
+        if check:
+            attempt.mark_checked(spark)
+
+    def state(name):
+        # The newest attempt of the second date is checked, so it is what readers get.
+        return tables.read_version(spark, path).select(F.lit(name).alias("state"), "k", "v", "partition_date")
+
+    build(first, I.SNAPSHOTS[1], True)
+    build(second, I.LAST, True)
+    states = [state("both checked")]
+    build(first.where("v is not null"), I.SNAPSHOTS[1], False)
+    build(second, I.LAST, True)
+    states.append(state("first repeated, not checked"))
+    tables.mark_checked(spark, path, I.SNAPSHOTS[1])
+    build(second, I.LAST, True)
+    states.append(state("first checked again"))
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
 def _keyed_crashes(date: str) -> str:
     t = "make_timestamp((crash_date // 1000000) * 1000)"
     date_key = f"case when crash_date is not null then {O.key(t)} end"
@@ -870,6 +955,33 @@ def quality_report(spark, sf):
     return checks.with_mart_results(checks.report(frames))
 
 
+@query(
+    "quality_report_incremental",
+    " union all ".join(_failures_sql(c) for c in checks.SOURCE_CHECKS),
+    FAULTS,
+)
+def quality_report_incremental(spark, sf):
+    """The checks of the raw tables over all snapshots, as the last of three runs gives them:
+    each run adds a snapshot, and the last one delivers the first snapshot of crashes and the
+    second of people anew, with faults. Only new and changed snapshots are counted."""
+    root = shared_dir(spark, "raw-history")
+    paths = {f"raw_{name}": f"{root}/{name}" for name in I.COLUMNS}
+    faulty = _histories(spark, sf)
+
+    def deliver(frames, model, date):
+        raw.append_snapshot(last_of(frames[model], date).drop("partition_date"), paths[model], date)
+
+    for date in I.SNAPSHOTS:
+        clean = {f"raw_{name}": I.raw(spark, sf, name) for name in I.COLUMNS}
+        for model in paths:
+            deliver(clean, model, date)
+        if date == I.LAST:
+            deliver(faulty, "raw_crash", I.SNAPSHOTS[0])
+            deliver(faulty, "raw_people", I.SNAPSHOTS[1])
+        found = history.history_results(spark, paths, checks.SOURCE_CHECKS, f"{root}/counts")
+    return history.result_rows(spark, found)
+
+
 # --- models --------------------------------------------------------------------
 
 
@@ -981,32 +1093,19 @@ for _mart, _source in marts.MARTS.items():
 
 @query(
     "mart_export",
-    " union all ".join(
-        f"select '{mart}' as mart, cast(count(*) as bigint) as row_count,"
-        f" cast(count(distinct {key}) as bigint) as key_count"
-        f" from {source.removeprefix('refined_')}"
-        for (mart, source), key in zip(
-            marts.MARTS.items(),
-            ["crash_hkey", "person_hkey", "vehicle_hkey", "date_hkey", "location_hkey"],
-        )
+    " union all by name ".join(
+        f"select '{mart}' as mart, * from {source.removeprefix('refined_')}" for mart, source in marts.MARTS.items()
     ),
 )
 def mart_export(spark, sf):
-    """Row and key counts of the exported mart files."""
+    """All rows and columns of the five marts, read back from the exported files."""
     frames = marts.marts(refined_frames(spark, sf, *marts.MARTS.values()))
     paths = marts.export(frames, shared_dir(spark, "marts"))
-    keys = dict(zip(marts.MARTS, ["crash_hkey", "person_hkey", "vehicle_hkey", "date_hkey", "location_hkey"]))
-    parts = [
-        spark.read.parquet(paths[mart]).agg(
-            F.lit(mart).alias("mart"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(key).alias("key_count"),
-        )
-        for mart, key in keys.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = None
+    for mart, path in paths.items():
+        rows = spark.read.parquet(path).withColumn("mart", F.lit(mart))
+        rows = flat_point(rows) if "location_point" in rows.columns else rows
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 
 
@@ -1099,75 +1198,29 @@ def batch_job(spark, sf):
     return _job(spark, sf).marts["fact_people"]
 
 
-def _accumulated(keys: str, new: str, old: str) -> str:
-    return (
-        f"select * from ({new}) n union all select * from ({old}) o"
-        f" where not exists (select 1 from ({new}) n where n.{keys} = o.{keys})"
-    )
-
-
-def _vehicles(date: str, crashes: str) -> str:
-    vehicle_key = O.key("v.crash_unit_id", "c.crash_hkey", "v.vehicle_id")
-    return (
-        f"select {vehicle_key} as vehicle_hkey, v.vehicle_id, v.partition_date from raw_vehicle v"
-        f" left join {crashes} c on v.crash_record_id = c.crash_id"
-        f" where v.partition_date = date '{date}'"
-    )
-
-
-def _people(date: str, crashes: str, vehicles: str) -> str:
-    person_key = O.key("p.person_id", "c.crash_hkey", "v.vehicle_hkey")
-    return (
-        f"select {person_key} as person_hkey, p.partition_date from raw_people p"
-        f" left join {crashes} c on p.crash_record_id = c.crash_id"
-        f" left join {vehicles} v on p.vehicle_id = v.vehicle_id"
-        f" where p.partition_date = date '{date}'"
-    )
-
-
-def _places(date: str) -> str:
-    return (
-        f"select distinct {O.key('latitude', 'longitude')} as location_hkey from raw_crash"
-        f" where partition_date = date '{date}'"
-    )
-
-
-TWO_DATES = {
-    **REKEYED,
-    "vehicles_1": _vehicles(I.SNAPSHOTS[1], "tgt"),
-    "vehicles_2": _accumulated("vehicle_hkey", _vehicles(I.LAST, "merged"), "select * from vehicles_1"),
-    "people_2": _accumulated(
-        "person_hkey",
-        _people(I.LAST, "merged", "vehicles_2"),
-        _people(I.SNAPSHOTS[1], "tgt", "vehicles_1"),
-    ),
-    "places_2": _accumulated("location_hkey", _places(I.LAST), _places(I.SNAPSHOTS[1])),
-}
-TWO_DATES_KEYS = {
-    "fact_crash": ("crash_hkey", "merged"),
-    "fact_vehicle": ("vehicle_hkey", "vehicles_2"),
-    "fact_people": ("person_hkey", "people_2"),
-}
+RUNS = I.SNAPSHOTS[1:]
 
 
 @query(
     "batch_job_two_dates",
-    " union all ".join(
-        f"select '{mart}' as mart, {key} as hkey, partition_date from {rows}"
-        for mart, (key, rows) in TWO_DATES_KEYS.items()
-    )
-    + " union all select 'dim_location' as mart, location_hkey as hkey, null as partition_date"
-    " from places_2",
-    TWO_DATES,
+    " union all by name ".join(
+        f"select '{mart}' as mart, * from {rows}"
+        for mart, rows in {
+            "fact_crash": f"fact_crash_all_{len(RUNS)}",
+            "fact_people": f"fact_people_all_{len(RUNS)}",
+            "fact_vehicle": f"fact_vehicle_all_{len(RUNS)}",
+            "dim_datetime": f"dim_datetime_{len(RUNS)}",
+            "dim_location": "dim_location_enriched_all",
+        }.items()
+    ),
+    O.accumulated(RUNS),
 )
 def batch_job_two_dates(spark, sf):
-    """Keys of the marts after the job has run for two dates: corrected crashes keep their
-    old rows, and everything that hangs on those."""
-    shown = _job(spark, sf, I.SNAPSHOTS[1:]).marts
-    parts = [
-        shown[mart].select(F.lit(mart).alias("mart"), F.col(key).alias("hkey"), "partition_date")
-        for mart, (key, _) in TWO_DATES_KEYS.items()
-    ]
-    none = F.lit(None).cast("date").alias("partition_date")
-    places = shown["dim_location"].select(F.lit("dim_location").alias("mart"), F.col("location_hkey").alias("hkey"), none)
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(places)
+    """All rows and columns of the five marts after the job has run for two dates: corrected
+    crashes keep their old rows, and so does everything that hangs on those."""
+    out = None
+    for mart, rows in _job(spark, sf, RUNS).marts.items():
+        rows = rows.withColumn("mart", F.lit(mart))
+        rows = flat_point(rows) if "location_point" in rows.columns else rows
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
