@@ -86,10 +86,19 @@ def test_long_texts_in_pieces_are_tokenized_alike(spark, bpes, monkeypatch):
         assert " ".join(some) == text
         for bpe, mark in zip(bpes, (" ", "")):
             assert [i for p in bpe.encode([mark + s for s in some]) for i in p] == bpe.encode([mark + text])[0]
-    names = [str(i) for i in range(60_000)]
-    whole = [t[:5] for t in T._align(texts, *bpes, names)]
+    whole = [t[:5] for t in T._Aligner(*bpes).align(texts)]
     monkeypatch.setattr(T, "_PIECE", 300)
-    assert [t[:5] for t in T._align(texts, *bpes, names)] == whole
+    assert [t[:5] for t in T._Aligner(*bpes).align(texts)] == whole
+
+
+def test_both_libraries_give_the_same_ids(spark, bpes):
+    """Every character the faster one is used for, alone, in words, after spaces, in numbers."""
+    chars = [chr(c) for c in range(0x2100) if not T._OTHER.search(chr(c))]
+    texts = [f" {c}|a{c}b 1{c}2  {c}{c} {c}'s\n{c}\n" for c in chars] + [" <|endoftext|> we'll DON'T 'Ve", "   ", "\t\n x"]
+    texts += [" " + r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").collect()]
+    assert bpes[0]._fast is not None and len(chars) > 700
+    assert bpes[0].encode(texts) == bpes[0]._slow(texts)
+    assert any(T._OTHER.search(t) is None for t in texts[-50:])
 
 
 def test_gallop():
