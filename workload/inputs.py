@@ -296,3 +296,12 @@ def write_geojson_feed(spark: SparkSession, sf_dir: str, dataset: str, path: str
     )
     lines.write.text(path)
     return path
+
+
+def write_geojson_documents(spark: SparkSession, sf_dir: str, dataset: str, path: str) -> str:
+    """The same collections as documents of many lines, one per file."""
+    lines = write_geojson_feed(spark, sf_dir, dataset, f"{path}-lines")
+    broken = F.regexp_replace(F.regexp_replace("value", r", \{\"type\": \"Feature\"", ',\n  {\n    "type": "Feature"'), r"\]\}$", "\n]\n}\n")
+    documents = spark.read.text(lines).select(broken.alias("value"), F.xxhash64("value").alias("document"))
+    documents.repartition("document").write.partitionBy("document").text(path)
+    return path

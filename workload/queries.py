@@ -189,6 +189,24 @@ def geojson_scan(spark, sf):
     )
 
 
+@query(
+    "geojson_documents",
+    "select 'ward' as dataset, cast(json_extract_string(geometry, '$.type') as varchar) as kind, ward_id as id"
+    " from raw_ward union all select 'neighborhood' as dataset, json_extract_string(geometry, '$.type') as kind,"
+    " pri_neigh as id from raw_neighborhood",
+)
+def geojson_documents(spark, sf):
+    """Features of collections that are one JSON document of many lines per file."""
+    parts = []
+    for name, key in (("ward", "ward_id"), ("neighborhood", "pri_neigh")):
+        path = I.write_geojson_documents(spark, sf, name, shared_dir(spark, f"{name}-documents"))
+        features = geojson.scan_geojson(spark, path, multi_line=True)
+        flat = geojson.flatten_features(features, schemas.BOUNDARIES[name])
+        kind = F.get_json_object("geometry", "$.type").alias("kind")
+        parts.append(flat.select(F.lit(name).alias("dataset"), kind, F.col(key).alias("id")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("geojson_flatten", "select * from raw_ward")
 def geojson_flatten(spark, sf):
     """Features to newline-delimited JSON and back, then stamped."""
