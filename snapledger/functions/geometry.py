@@ -25,6 +25,24 @@ def make_point(lon: Column, lat: Column) -> Column:
     )
 
 
+def morton_key(lon: Column, lat: Column) -> Column:
+    """Place of a point on a curve that keeps neighbours together: the bits of its longitude
+    and latitude in turn, 26 of each, so cells are some ten metres wide. NULL if either is."""
+
+    def scaled(value: Column, half: float) -> Column:
+        inside = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (value + half) / (2 * half)))
+        return F.floor(inside * ((1 << 26) - 1)).cast("bigint")
+
+    def spread(value: Column) -> Column:
+        """A zero after every bit: halves move apart, then the halves of those."""
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            value = _bind(value, lambda x: x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask)))
+        return value
+
+    key = F.shiftleft(spread(scaled(lat, 90.0)), 1).bitwiseOR(spread(scaled(lon, 180.0)))
+    return F.when(lon.isNotNull() & lat.isNotNull(), key)
+
+
 def polygon_from_geojson(text: Column, strict: bool = False) -> Column:
     """Parse a Polygon or MultiPolygon geometry. Any other text is NULL or, with
     ``strict``, an error."""

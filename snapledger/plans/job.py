@@ -7,8 +7,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapledger import schemas
+from snapledger.functions.geometry import morton_key
 from snapledger.operators.snapshot import current_only
 from snapledger.operators.upsert import DuplicateKeys
 from snapledger.plans import checks, history, refined, staging
@@ -28,8 +30,12 @@ KEYS = {
     "refined_fact_people": "person_hkey",
 }
 
-# Tables stored in the order of a column, so that files can be skipped by it.
-ORDER = {"refined_dim_datetime": "crash_datetime"}
+# Tables stored in an order by which files can be skipped: times by the clock, places along a
+# curve, so that a file holds the places of a small area.
+ORDER = {
+    "refined_dim_datetime": lambda: F.col("crash_datetime"),
+    "refined_dim_location": lambda: morton_key(F.col("longitude"), F.col("latitude")),
+}
 
 
 @dataclass
@@ -129,9 +135,8 @@ def transform(
         path = f"{root}/refined/{name}"
         if tables.read_version(spark, path, before=run_date) is not None:
             merged.add(name)
-        attempts[name] = tables.write_attempt(
-            source, path, KEYS[name], run_date, ORDER.get(name)
-        )
+        order = ORDER[name]() if name in ORDER else None
+        attempts[name] = tables.write_attempt(source, path, KEYS[name], run_date, order)
         build.refined[name] = attempts[name].read(spark)
         return build.refined[name]
 
@@ -150,7 +155,9 @@ def transform(
 
     independent = {
         "refined_dim_datetime": refined.dim_datetime(staged["crash"]),
-        "refined_dim_location": refined.dim_location(staged["crash"]),
+        "refined_dim_location": refined.dim_location(staged["crash"]).orderBy(
+            ORDER["refined_dim_location"]()
+        ),
         "refined_ward": refined.ward(staged["ward"]),
         "refined_neighborhood": refined.neighborhood(staged["neighborhood"]),
     }

@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Nanosecond timestamps in Parquet are read as whole numbers instead of refused.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
 # Settings that only change speed. AQE picks the join strategy from measured

@@ -183,3 +183,18 @@ def test_other_geometries_are_null(spark):
 def test_strict_parsing_raises(spark, text):
     with pytest.raises(Exception, match="no polygon in GeoJSON"):
         apply(spark, [text], "string", lambda c: G.polygon_from_geojson(c, strict=True))
+
+
+def test_morton_key(spark):
+    from snapledger.functions.geometry import morton_key
+
+    spots = [(-180.0, -90.0), (180.0, 90.0), (0.0, 0.0), (-87.65, 41.88), (-87.65, 41.87), (200.0, -95.0), (None, 1.0)]
+    df = spark.createDataFrame(spots, "x double, y double").select("x", "y", morton_key(F.col("x"), F.col("y")).alias("k"))
+
+    def plain(x, y):
+        if x is None or y is None:
+            return None
+        a, b = (int(min(1.0, max(0.0, (v + h) / (2 * h))) * ((1 << 26) - 1)) for v, h in ((x, 180.0), (y, 90.0)))
+        return sum((a >> i & 1) << (2 * i) | (b >> i & 1) << (2 * i + 1) for i in range(26))
+
+    assert [r.k for r in df.collect()] == [plain(*s) for s in spots]

@@ -263,6 +263,29 @@ def test_run_for_an_earlier_date(spark, tmp_path):
     assert (ward["Extra name"], ward["count"], ward["open"]) == ('{"deep":[1,2]}', 3, "true")
 
 
+def test_places_are_stored_by_area(spark, tmp_path):
+    """A small box of the map meets few of the stored files, by their column statistics."""
+    import pyarrow.parquet as pq
+
+    root, n = str(tmp_path / "w"), 6000
+    crashes = [f"c{i},2024-01-06T07:00:00.000,,,,0,0,{41 + (i * 7919 % n) / n},{-88 + (i * 104729 % n) / n},x" for i in range(n)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        build = job.run(spark, "2024-01-08", feed_paths(tmp_path / "1", crashes, ["1,c1,5"], ["p1,c1,5"]), root, cell=0.25)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = build.refined["refined_dim_location"].inputFiles()
+    met = 0
+    for file in files:
+        groups = pq.ParquetFile(file.removeprefix("file://")).metadata
+        names = {groups.schema.column(i).name: i for i in range(len(groups.schema))}
+        stats = [groups.row_group(0).column(names[c]).statistics for c in ("longitude", "latitude")]
+        low, high = (-87.9, 41.1), (-87.8, 41.2)
+        met += all(s.min <= h and s.max >= l for s, l, h in zip(stats, low, high))
+    assert len(files) >= 6 and met <= len(files) // 2
+    assert build.refined["refined_dim_location"].count() == n
+
+
 def test_unknown_dataset(spark, tmp_path):
     with pytest.raises(ValueError):
         job.load(spark, "2024-01-08", {"weather": "x"}, str(tmp_path))
