@@ -1,0 +1,20 @@
+"""Every corpus query with SQL against it, on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from snapledger.llm import queries
+from tests import compare
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, name):
+    same, note = compare.compare(spark, compare.connect(SF), name, SF)
+    assert same, note
+
+
+def test_all_are_registered():
+    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
