@@ -6,24 +6,29 @@ tracked. Where that length reaches the window, all its words are hit. Words that
 uses reset the automaton, so only runs of known words that are long enough for a window
 are streamed.
 
-Items go to the tasks in blocks of at most ``BLOCK_WORDS`` words, one pass over the
-documents per block: the automaton a task holds never grows with the benchmark. The
-documents themselves are not shuffled.
+Items are stored in the shared folder in blocks of about ``BLOCK_WORDS`` words, longer ones
+in overlapping parts. A task holds the automaton of one block at a time and takes the texts
+of a batch through one block after the other, so neither the driver nor a task holds more as
+the benchmark grows. The documents themselves are not shuffled.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.llm.common import text_bytes
+from snapledger.llm.common import ascii_lower, release, slices, text_bytes
+from snapledger.llm.warc_zip import filesystem
+from snapledger.session import shared_dir
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -163,32 +168,43 @@ class Automaton:
                 spans.append((start, end, whole))
 
 
-@lru_cache(maxsize=2)
-def _automaton(items: tuple, window: int) -> Automaton:
-    """Built once per Python worker and block."""
-    return Automaton(list(items), window)
-
-
 def item_blocks(
     items: DataFrame, id_col: str, text_col: str, window: int, block_words: int
-) -> Iterator[tuple]:
-    """Items as blocks of bounded size. A longer item is cut into parts that overlap by
-    all but one word of a window, so that no window is lost."""
-    block: list[tuple[str | None, tuple[bytes, ...]]] = []
-    size = 0
-    rows = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("binary"))
-    for name, text in rows.toLocalIterator():
-        words = words_of(bytes(text or b""))
-        step = max(1, block_words - window + 1)
-        for i in range(0, max(1, len(words) - window + 1), step):
-            part = tuple(words[i : i + block_words])
-            if part:
-                if block and size + len(part) > block_words:
-                    yield tuple(block)
-                    block, size = [], 0
-                block.append((name, part))
-                size += len(part)
-    yield tuple(block)
+) -> tuple[str, int]:
+    """Store the items in blocks of about ``block_words`` words: their folder and number. A
+    longer item is cut into parts that overlap by all but one word of a window, so that no
+    window is lost."""
+    pattern = F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = F.regexp_extract_all(ascii_lower(F.col(text_col).cast("string")), pattern, F.lit(0))
+    rows = items.select(F.col(id_col).cast("string").alias("name"), words.alias("words")).where(F.size("words") > 0)
+    last = F.greatest(F.size("words") - window, F.lit(0))
+    starts = F.explode(F.sequence(F.lit(0), last, F.lit(max(1, block_words - window + 1))))
+    parts = rows.select("name", "words", starts.alias("start")).select(
+        "name", F.slice("words", F.col("start") + 1, block_words).alias("words")
+    )
+    total = parts.agg(F.sum(F.size("words"))).first()[0] or 0
+    blocks, root = -(-total // block_words), shared_dir(items.sparkSession, "item-blocks")
+    if blocks:
+        number = F.pmod(F.xxhash64("words"), F.lit(blocks))
+        parts.withColumn("block", number).write.partitionBy("block").json(root)
+    return root, blocks
+
+
+@lru_cache(maxsize=1)
+def _automaton(root: str, block: int, window: int) -> Automaton | None:
+    """Built once per Python worker, as long as it stays with the block. None for a block
+    that no item fell into."""
+    fs, path = filesystem(f"{root}/block={block}")
+    if fs.get_file_info(path).type != pafs.FileType.Directory:
+        return None
+    rows = []
+    for file in fs.get_file_info(pafs.FileSelector(path)):
+        if not file.base_name.startswith((".", "_")):
+            with fs.open_input_stream(file.path) as lines:
+                rows += map(json.loads, lines.read().splitlines())
+    # In an order of their own, so that every task builds the same automaton.
+    items = sorted(((r.get("name"), tuple(w.encode() for w in r["words"])) for r in rows), key=lambda r: (r[1], r[0] or ""))
+    return Automaton(items, window)
 
 
 _FOUND = T.StructType(
@@ -210,24 +226,36 @@ def _merged(spans: list) -> list[list[int]]:
     return out
 
 
-def _pass(block: tuple, window: int, text_at: int, first: bool) -> Callable:
+def _matches(texts: list[bytes], root: str, blocks: int, window: int) -> list[tuple]:
+    """Number of words, hit spans and items of every text."""
+    found: list[tuple] = [(len(words_of(t)), [], []) for t in texts]
+    for block in range(blocks):
+        automaton = _automaton(root, block, window)
+        if automaton is None:
+            continue
+        for i, text in enumerate(texts):
+            spans, names = automaton.scan(words_of(text))
+            if spans:
+                n, old, known = found[i]
+                found[i] = n, _merged([*spans, *old]), sorted(names.union(known))
+    return found
+
+
+def _batches(batches: Iterator[pa.RecordBatch], text_at: int, blocks: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of batches: small ones, unless every piece has to load several blocks."""
+    for batch in batches:
+        yield from slices(batch, text_at) if blocks < 2 else [batch]
+        release()
+
+
+def _scan(root: str, blocks: int, window: int, text_at: int) -> Callable:
+    types = [pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.string())]
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(block, window)
-        types = [pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.string())]
-        for batch in batches:
-            old = [[None] * batch.num_rows] * 3
-            cols = batch.columns
-            if not first:
-                cols, old = cols[:-3], [c.to_pylist() for c in cols[-3:]]
-            rows = []
-            for text, n, spans, names in zip(text_bytes(batch.column(text_at)), *old):
-                words = words_of(text)
-                more, new = automaton.scan(words)
-                rows.append((len(words), _merged([*more, *(spans or ())]), sorted(new.union(names or ()))))
-            got = list(zip(*rows)) if rows else [[], [], []]
-            arrays = [pa.array(x, t) for x, t in zip(got, types)]
-            names = batch.schema.names if first else batch.schema.names[:-3]
-            yield pa.RecordBatch.from_arrays([*cols, *arrays], names=[*names, *_FOUND.names])
+        for batch in _batches(batches, text_at, blocks):
+            rows = _matches(text_bytes(batch.column(text_at)), root, blocks, window)
+            arrays = [pa.array(x, t) for x, t in zip(zip(*rows), types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *_FOUND.names])
 
     return scan
 
@@ -250,31 +278,40 @@ def match_items(
     item id is matched but not listed, equal ids count once. An empty benchmark hits
     nothing. Column names that start with an underscore belong to this operator.
     """
-    out = docs
-    for k, block in enumerate(item_blocks(items, item_id, item_text, window, block_words)):
-        schema = T.StructType([*docs.schema.fields, *_FOUND.fields])
-        out = out.mapInArrow(_pass(block, window, docs.columns.index(text_col), k == 0), schema)
-    return out
-
-
-def _cut(batches: Iterator[pa.RecordBatch], text_at: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Take the bytes of hit spans that are long enough or hold a whole short item out of the
-    texts."""
-    for batch in batches:
-        texts = batch.column(text_at).to_pylist()
-        for i, spans in enumerate(batch.column(batch.num_columns - 2).to_pylist()):
-            spans = [s for s in spans if s[2] or s[1] - s[0] >= least]
-            if spans:
-                raw = texts[i].encode()
-                at = [m.span() for m in _WORD.finditer(raw)]
-                kept, done = [], 0
-                for start, end, _ in spans:
-                    kept.append(raw[done : at[start][0]])
-                    done = at[end - 1][1]
-                texts[i] = b"".join([*kept, raw[done:]]).decode()
-        cols = batch.columns
-        cols[text_at] = pa.array(texts, pa.string())
-        yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+    root, blocks = item_blocks(items, item_id, item_text, window, block_words)
+    schema = T.StructType([*docs.schema.fields, *_FOUND.fields])
+    return docs.mapInArrow(_scan(root, blocks, window, docs.columns.index(text_col)), schema)
+
+
+def _cut(raw: bytes, spans: list) -> bytes:
+    at = [m.span() for m in _WORD.finditer(raw)]
+    kept, done = [], 0
+    for start, end, _ in spans:
+        kept.append(raw[done : at[start][0]])
+        done = at[end - 1][1]
+    return b"".join([*kept, raw[done:]])
+
+
+def _clean(root: str, blocks: int, window: int, text_at: int, least: int, max_coverage: float) -> Callable:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Take the bytes of hit spans that are long enough or hold a whole short item out of
+        the texts, and leave out texts that are mostly hit."""
+        for batch in _batches(batches, text_at, blocks):
+            texts, keep, changed = text_bytes(batch.column(text_at)), [], {}
+            for i, (n, spans, _) in enumerate(_matches(texts, root, blocks, window)):
+                keep.append(sum(end - start for start, end, _ in spans) <= max_coverage * n)
+                spans = [s for s in spans if s[2] or s[1] - s[0] >= least]
+                if keep[-1] and spans:
+                    changed[i] = _cut(texts[i], spans).decode()
+            if changed:
+                cols, new = batch.columns, batch.column(text_at).to_pylist()
+                for i, text in changed.items():
+                    new[i] = text
+                cols[text_at] = pa.array(new, pa.string())
+                batch = pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return clean
 
 
 def decontaminate(
@@ -284,17 +321,17 @@ def decontaminate(
     window: int = WINDOW,
     max_span: int = WINDOW - 1,
     max_coverage: float = 0.5,
-    **options,
+    item_id: str = "item_id",
+    item_text: str = "text",
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``docs`` without benchmark passages: hit spans of more than ``max_span`` words, or
     with a whole item shorter than the window, are cut out of the text, and documents of
     which more than ``max_coverage`` of the words are hit are dropped. Columns and clean rows
     are unchanged; nulls, empty texts and repeated rows pass through. Empty tables give what they have."""
-    found = match_items(docs, items, text_col, window=window, **options)
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    at, schema = docs.columns.index(text_col), found.schema
-    kept = found.where(hit <= max_coverage * F.col("_n_words"))
-    return kept.mapInArrow(lambda b: _cut(b, at, max_span + 1), schema).select(*docs.columns)
+    root, blocks = item_blocks(items, item_id, item_text, window, block_words)
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(_clean(root, blocks, window, at, max_span + 1, max_coverage), docs.schema)
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -16,14 +16,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import ranges
+from snapledger.llm.common import release, slices
 
 # Bounds of the sample the model is fitted on: rows, and characters of a piece of each.
 SAMPLE_ROWS = 2000
+LANGUAGES = 500  # languages that are learned at most, those with the most rows
 LANGUAGE_ROWS = 20  # of each language at least, if there are so many of them that its part is less
 SAMPLE_CHARS = 2000
 
@@ -41,7 +42,8 @@ REJECT_SHARE = 0.001
 REJECT_BELOW = 0.4
 
 UNKNOWN = "und"
-_PIECE = 4 << 20  # bytes predicted at once
+_PIECE = 1 << 18  # bytes scored at once; a longer text is scored piece by piece
+_FOUND = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 _LETTERS = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 _MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)  # odd multipliers, one for each length
 
@@ -75,16 +77,28 @@ class Model:
     threshold: float = 0.0
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
-        found, starts, sizes = buckets(texts)
-        out = np.empty((len(texts), len(self.labels)))
-        ends = np.column_stack((starts, starts + sizes)).ravel()  # of texts and gaps in turn
+        sums = np.zeros((len(texts), len(self.labels)))
+        held: list[tuple[int, bytes, int]] = []
+        size = 0
+        for piece in _pieces(texts):
+            if held and size + len(piece[1]) > _PIECE:
+                self._add(sums, held)
+                held, size = [], 0
+            held.append(piece)
+            size += len(piece[1])
+        if held:
+            self._add(sums, held)
+        return sums / (len(GRAMS) * np.fromiter(map(len, texts), np.int64, len(texts)))[:, None] + self.bias
+
+    def _add(self, sums: np.ndarray, pieces: list[tuple[int, bytes, int]]) -> None:
+        owners, parts, used = zip(*pieces)
+        found, starts, _ = buckets(list(parts))
+        ends = np.column_stack((starts, starts + used)).ravel()  # of what counts and what does not, in turn
         for k, values in enumerate(self.table):
             total = values[found[0]]
             for more in found[1:]:
                 total += values[more]
-            sums = np.add.reduceat(total, ends, dtype=np.float64)[::2]
-            out[:, k] = sums / (len(GRAMS) * sizes)
-        return out + self.bias
+            np.add.at(sums[:, k], list(owners), np.add.reduceat(total, ends, dtype=np.float64)[::2])
 
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Language number and calibrated score of every text."""
@@ -92,6 +106,14 @@ class Model:
         return p.argmax(axis=1), np.round(p.max(axis=1), 6)
 
 
+def _pieces(texts: list[bytes]) -> Iterator[tuple[int, bytes, int]]:
+    """Number of the text, bytes, and how many of them start a subword here. The pieces of a
+    long text overlap, so that each of its subwords is whole in one of them."""
+    for i, text in enumerate(texts):
+        for at in range(0, len(text), _PIECE):
+            yield i, text[at : at + _PIECE + max(GRAMS) - 1], min(_PIECE, len(text) - at)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -157,15 +179,17 @@ def has_letter(text: str | None) -> bool:
 
 
 def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """Of every language an equal part of SAMPLE_ROWS rows, LANGUAGE_ROWS at least, in the
-    order of a hash, a piece of SAMPLE_CHARS characters from anywhere in the text of each.
+    """Of every language (the LANGUAGES most frequent, should there be more labels) an equal
+    part of SAMPLE_ROWS rows, LANGUAGE_ROWS at least, in the order of a hash, a piece of SAMPLE_CHARS characters from anywhere in the text of each.
     Texts without a letter are left out, and of equal texts all but one. The rows of each
     language are counted first, and those whose hash is too high to be among its lowest are
     left out where they are read, so that what is sorted does not grow with the table."""
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit(SEED))
     room = F.greatest(F.length(text_col) - SAMPLE_CHARS, F.lit(0)) + 1
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = known.groupBy(F.col(lang_col).alias("_lang")).agg(F.count("*").alias("_n"), F.min(order).alias("_first")).collect()
+    counts = known.groupBy(F.col(lang_col).alias("_lang")).agg(F.count("*").alias("_n"), F.min(order).alias("_first"))
+    counts = counts.orderBy(F.desc("_n"), "_lang").limit(LANGUAGES).collect()
+    known = known.where(F.col(lang_col).isin([r["_lang"] for r in counts]))
     rows = max(LANGUAGE_ROWS, SAMPLE_ROWS // max(1, len(counts)))
     shares = {r["_lang"]: 4 * rows / r["_n"] for r in counts}
     limits = {r["_lang"]: max(r["_first"], int(-(2**63) + shares[r["_lang"]] * 2**64)) for r in counts if shares[r["_lang"]] < 1}
@@ -196,19 +220,24 @@ def identify(model: Model | None, text: Column) -> Column:
     model (no labelled rows) every text is ``und``, and texts with letters are not rejected.
     """
 
-    @F.pandas_udf("lang string, score double, rejected boolean")
-    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double, rejected boolean")
+    def predict(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            known = [has_letter(t) for t in part]
-            langs, scores, rejected = [UNKNOWN] * len(part), [0.0] * len(part), [not k for k in known]
-            if model is not None:
-                at = [i for i, k in enumerate(known) if k]
-                texts = [normal(part.iat[i]) for i in at]
-                for start, end in ranges(texts, _PIECE):
-                    best, score = model.predict(texts[start:end])
-                    for i, b, s in zip(at[start:end], best.tolist(), score.tolist()):
+            out = []
+            for piece in slices(pa.RecordBatch.from_arrays([part], names=["text"]), 0, _PIECE):
+                rows = piece.column(0).to_pylist()
+                langs, scores, rejected = [UNKNOWN] * len(rows), [0.0] * len(rows), [True] * len(rows)
+                at = [i for i, t in enumerate(rows) if has_letter(t)]
+                for i in at:
+                    rejected[i] = False
+                if model is not None and at:
+                    best, score = model.predict([normal(rows[i]) for i in at])
+                    for i, b, s in zip(at, best.tolist(), score.tolist()):
                         langs[i], scores[i], rejected[i] = model.labels[b], s, s < model.threshold
-            yield pd.DataFrame({"lang": langs, "score": scores, "rejected": rejected})
+                arrays = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+                out.append(pa.StructArray.from_arrays(arrays, names=["lang", "score", "rejected"]))
+            yield pa.concat_arrays(out) if out else pa.array([], _FOUND)
+            release()
 
     return predict(text)
 

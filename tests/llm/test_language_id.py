@@ -72,3 +72,32 @@ def test_rare_languages_are_learned(spark):
     assert len(n["en"]) == L.SAMPLE_ROWS // 3 and len(n["hu"]) == 1
     assert sorted(n["de"]) == [f"der hund und die katze {k}" for k in range(8)]
     assert set(L.train(d.where(L.usable())).labels) == {"en", "de", "hu"}
+
+
+def test_scores_equal_a_plain_evaluation(monkeypatch):
+    """Every subword looked up by itself; texts scored in one piece, in pieces, and in batches."""
+    model = L.fit(["the cat and dog " * 9, "der hund und die katze " * 9, "le chat et le chien " * 9] * 20, ["en", "de", "fr"] * 20)
+    texts = [L.normal(t) for t in ("the dog", "die Katze ärgert den Hund", "x", "cat et hund " * 40, "é")]
+
+    def plain(text):
+        sums = [0.0] * len(model.labels)
+        for size, factor in zip(L.GRAMS, L._MIX):
+            for i in range(len(text)):
+                code = int.from_bytes(text[i : i + size].ljust(size, b"\0"), "little")
+                bucket = (code * factor % 2**32) >> 16
+                for k, row in enumerate(model.table):
+                    sums[k] += float(row[bucket])
+        return [s / (len(L.GRAMS) * len(text)) + b for s, b in zip(sums, model.bias)]
+
+    want = [plain(t) for t in texts]
+    for size in (L._PIECE, 100, 7):
+        monkeypatch.setattr(L, "_PIECE", size)
+        assert abs(model.logits(texts) - want).max() < 1e-5
+
+
+def test_more_labels_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(L, "LANGUAGES", 2)
+    d = spark.range(300).selectExpr(
+        "id as doc_id", "concat('words of ', id) as text", "case when id % 3 > 0 then 'en' when id % 2 = 0 then 'de' else concat('x', id) end as lang",
+        "'' as score", "'' as _found")
+    assert set(L.train(d.where(L.usable())).labels) == {"en", "de"}
