@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import numbered, release, stored, text_bytes
+from snapledger.llm.common import numbered, release, slices, stored, text_bytes
 from snapledger.llm.components import components
 from snapledger.llm.repeated_spans import Ranges
 
@@ -153,24 +153,24 @@ def _folded(raw: bytes, size: int) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for text in text_bytes(batch.column(1)):
-            found = shingles(text)
-            rows.append((len(found), vertex(found), sketch(found) if len(found) else b""))
-        n, v, s = zip(*rows) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.binary())],
-            names=["_id", "_text_hash", "_run", "_n", "_v", "_sketch"],
-        )
+        for part in slices(batch, 1):
+            rows = []
+            for text in text_bytes(part.column(1)):
+                found = shingles(text)
+                rows.append((len(found), vertex(found), sketch(found) if len(found) else b""))
+            n, v, s = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(2), part.column(3), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.binary())],
+                names=["_id", "_text_hash", "_run", "_n", "_v", "_sketch"],
+            )
         release()
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = text_bytes(batch.column(0))
-        for at in range(0, len(texts), 500):
+        for part in slices(batch, 0, 1 << 20):
             keys, owners = [], []
-            for text in texts[at : at + 500]:
+            for text in text_bytes(part.column(0)):
                 found = shingles(text)
                 own = block_keys(found)
                 keys.append(own)
@@ -178,6 +178,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], names=["key", "v"]
             )
+        release()
 
 
 def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,9 +342,13 @@ class _Texts:
         share an id or have none are told apart by the hash of their text."""
         v = members.select(F.col("a").alias("_v")).union(members.select("b")).distinct()
         chosen = self.vertices.join(v, "_v").select("_v", "_of.*")
-        hashed = self.docs.withColumn("_text_hash", F.xxhash64("_text"))
-        same = hashed["_id"].eqNullSafe(chosen["_id"]) & (hashed["_text_hash"] == chosen["_text_hash"])
-        return stored(hashed.join(chosen, same).groupBy("_v").agg(F.first("_text").alias("_text")), "meeting-texts")
+        # Equal keys on both sides, so that grouping by them needs no shuffle of its own.
+        keys = [F.col("_id").isNull().alias("_none"), F.coalesce("_id", F.lit(0)).alias("_known"), "_text_hash"]
+        hashed = self.docs.withColumn("_text_hash", F.xxhash64("_text")).select(*keys, "_text")
+        # Sorted by them at every size, so that rows of one text follow each other.
+        found = hashed.join(chosen.select(*keys, "_v").hint("merge"), ["_none", "_known", "_text_hash"])
+        once = found.groupBy("_none", "_known", "_text_hash", "_v").agg(F.first("_text").alias("_text"))
+        return stored(once.select("_v", "_text"), "meeting-texts")
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) whose sizes and sketches allow a link."""
@@ -372,6 +377,8 @@ class _Texts:
         keys = self.docs.select("_text").mapInArrow(_keys, "key long, v long")
         # All rows are sorted by one number only; by vertex, too, only those that meet another.
         met = keys.repartition(self.parts, "key").sortWithinPartitions("key").mapInArrow(_several, "key long, v long")
+        # Stored in between, so that a task has one Python worker and not two.
+        met = stored(met, "met").repartition(self.parts, "key")
         members = stored(
             met.sortWithinPartitions("key", "v").mapInArrow(_meet, "key long, a long, b long"), "block-members"
         )
