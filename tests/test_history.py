@@ -56,9 +56,9 @@ def opened(monkeypatch):
     seen = []
     read = history._snapshots
 
-    def recording(spark, path, dates, columns):
+    def recording(spark, path, dates, columns, known):
         seen.extend((os.path.basename(path), d) for d in dates)
-        return read(spark, path, dates, columns)
+        return read(spark, path, dates, columns, known)
 
     monkeypatch.setattr(history, "_snapshots", recording)
     return seen
