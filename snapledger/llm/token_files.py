@@ -168,7 +168,8 @@ def scan_tokens(
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per document: the id column and ``n_tokens``, counted from token files that
     are written for it. Null and empty texts have 0; repeated rows and null ids are counted
-    like others; an empty table gives no rows; other columns are not read."""
+    like others; an empty table gives no rows; other columns are not read. Ids are whole
+    numbers, or texts of such; others raise."""
     block = {"block_bytes": options.pop("block_bytes")} if "block_bytes" in options else {}
     places = write_tokens(docs, id_col, text_col, **options)
     same = {k: options[k] for k in ("separator", "dtype") if k in options}

@@ -134,7 +134,8 @@ def write_pages(
     Of rows with equal payloads of at least ``least`` bytes, the one with the smallest id
     is a response and the others are revisits of it; rows that repeat this id are all
     responses, and so are all rows where every id is null. Null html is an empty payload,
-    a null url is left out. Other columns are not read.
+    a null url is left out. Ids are whole numbers, or texts of such. A url is written without
+    spaces around it and with line breaks escaped. Other columns are not read.
     """
     root = shared_dir(pages.sparkSession, "packages")
     payload = F.coalesce(F.col(html_col), F.lit(""))
