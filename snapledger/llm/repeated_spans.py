@@ -33,7 +33,7 @@ from snapledger.llm.common import ranges, stored, text_bytes
 LENGTH = 400
 GRAM = 100
 NODE = 19
-PIECE = 1 << 20
+PIECE = (1 << 20) - 4096  # bytes looked at together; with a window more, below a power of two
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33, _S32 = np.uint64(33), np.uint64(32)
@@ -113,6 +113,25 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
     return text, x - base, low - base, high - base, grams[x].view(np.int64), cover.view(np.int64)
 
 
+def anchors_of_long(raw: bytes, length: int, gram: int, piece: int) -> tuple[np.ndarray, ...]:
+    """The anchors of one text, found in pieces of ``piece`` window starts, so that the work
+    arrays do not grow with it. Windows of one anchor on both sides of a cut are put together."""
+    found = []
+    for at in range(0, max(1, len(raw) - length + 1), piece):
+        _, x, low, high, g, w = anchors([raw[at : at + piece + length - 1]], length, gram)
+        found.append(np.column_stack((x + at, low + at, high + at, g, w)))
+    rows = np.concatenate(found)
+    if len(found) > 1:
+        joined = np.flatnonzero((rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 1] == rows[:-1, 2] + 1))
+        for i in joined[::-1]:
+            x, low, high = rows[i, 0], rows[i, 1], rows[i + 1, 2]
+            by = Ranges(raw[low : high + length])
+            ends = np.array([0]), np.array([high + length - low])
+            rows[i, 2], rows[i, 4] = high, by.hash(*ends, np.array([(x - low) * 4096 + (x - high)])).view(np.int64)[0]
+        rows = np.delete(rows, joined + 1, axis=0)
+    return np.zeros(len(rows), np.int64), *rows.T
+
+
 def _anchor_rows(length: int, gram: int):
     names = ["t", "x", "low", "high", "g", "w"]
 
@@ -121,7 +140,10 @@ def _anchor_rows(length: int, gram: int):
             keys = batch.column(0).to_numpy()
             texts = text_bytes(batch.column(1))
             for start, end in ranges(texts, PIECE):
-                text, *rest = anchors(texts[start:end], length, gram)
+                if end == start + 1 and len(texts[start]) > PIECE:
+                    text, *rest = anchors_of_long(texts[start], length, gram, PIECE)
+                else:
+                    text, *rest = anchors(texts[start:end], length, gram)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys[start:end][text], *rest)], names=names)
 
     return scan
@@ -182,7 +204,9 @@ def repeated_starts(docs: DataFrame, text_col: str, length: int = LENGTH, gram:
     schema = "t long, x long, low long, high long, g long, w long"
     every = stored(texts.mapInArrow(_anchor_rows(length, gram), schema), "anchors")
     grams = every.groupBy("g").agg(F.count("*").alias("c"), F.min("w").alias("w0"), F.max("w").alias("w1"))
-    again = every.join(grams.where("c > 1"), "g")
+    # Tables of their own, here and below, so that the rows of a frequent gram or text can be
+    # split in the join.
+    again = every.join(stored(grams.where("c > 1"), "repeated-grams"), "g")
     place = F.struct("t", "x", "low", "high")
     again = stored(again.select("t", "x", "low", "high", "g", "w", (F.col("w0") == F.col("w1")).alias("alike")), "gram-groups")
     found = [again.where("alike").select("t", "low", "high")]
@@ -193,6 +217,7 @@ def repeated_starts(docs: DataFrame, text_col: str, length: int = LENGTH, gram:
     classes = stored(classes, "surroundings")
     found.append(mixed.join(classes.where("c > 1").select("g", "w"), ["g", "w"]).select("t", "low", "high"))
     wanted = classes.groupBy("p.t").agg(F.collect_list(F.struct("p.x", "p.low", "p.high")).alias("wanted"))
+    wanted = stored(wanted, "wanted")
     # Copies of a text come with it and change nothing: positions are told apart by (t, x).
     contexts = stored(
         texts.join(wanted, "t").select("t", "_text", "wanted").mapInArrow(
@@ -273,7 +298,7 @@ def _removed(length: int, text_at: int, with_text: bool):
 
 
 def _with_starts(docs: DataFrame, text_col: str, length: int, gram: int, node: int) -> DataFrame:
-    starts = repeated_starts(docs, text_col, length, gram, node).withColumnRenamed("t", "_t")
+    starts = stored(repeated_starts(docs, text_col, length, gram, node).withColumnRenamed("t", "_t"), "starts")
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     return docs.withColumn("_t", key).join(starts.withColumnRenamed("starts", "_starts"), "_t", "left").drop("_t")
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from snapledger.llm import queries
@@ -72,3 +73,24 @@ def test_registered_query(spark):
     got = sorted(map(tuple, queries.QUERIES["op6_repeated_spans"](spark, sf).collect()), key=str)
     assert got == brute(rows, 400)
     assert any(r[2] for r in got)
+
+
+def test_long_texts_are_taken_in_pieces():
+    """The same anchors as in one piece, wherever the cuts fall; and memory that does not grow."""
+    rng = np.random.default_rng(5)
+    for length, gram in ((40, 10), (400, 100)):
+        raw = bytes(rng.integers(97, 101, 6000, dtype=np.uint8)) + b"ab" * 900 + b"x" * 1500 + bytes(rng.integers(97, 99, 500, dtype=np.uint8))
+        whole = np.column_stack(R.anchors([raw], length, gram))
+        for piece in (1, 37, 401, 1000, 5000, 100_000):
+            if piece > 1 or length < 100:
+                assert np.array_equal(np.column_stack(R.anchors_of_long(raw, length, gram, piece)), whole), piece
+    assert len(R.anchors_of_long(b"short", 400, 100, 10)[0]) == 0
+
+
+def test_a_text_of_many_megabytes(spark):
+    rng = np.random.default_rng(6)
+    big = "".join(map(chr, rng.integers(97, 123, 5_000_000)))
+    copied = big[2_000_000:2_001_000]
+    d = spark.createDataFrame([(1, big), (2, "start " + copied + " end"), (3, copied[:399])], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in R.repeat_report(d).collect()}
+    assert got == {1: (5_000_000, 1000, 1), 2: (1010, 1000, 1), 3: (399, 0, 0)}
