@@ -22,6 +22,7 @@ nothing of them reaches the driver. Equal sets are one vertex from the start.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from snapledger.llm.common import numbered, release, slices, stored, text_bytes
 from snapledger.llm.components import components
-from snapledger.llm.repeated_spans import Ranges
+from snapledger.llm.repeated_spans import PIECE, Ranges
 
 WORDS = 5
 # Linking sets differ in at most 1/DIFFER of their summed sizes: 80 % similarity.
@@ -64,8 +65,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+
+
 def _word_codes(text: bytes) -> np.ndarray:
-    """Hash of every word, by one pass of vector operations over the bytes."""
+    """Hash of every word, by one pass of vector operations over the bytes; a long text is
+    taken in pieces that end with a word."""
+    if len(text) <= PIECE:
+        return _piece_codes(text)
+    out, start = [], 0
+    while start < len(text):
+        cut = _GAP.search(text, start + PIECE)
+        end = cut.start() if cut else len(text)
+        out.append(_piece_codes(text[start:end]))
+        start = end
+    return np.concatenate(out)
+
+
+def _piece_codes(text: bytes) -> np.ndarray:
     raw = text.lower()
     gaps = np.concatenate(([True], _SPACE[np.frombuffer(raw, np.uint8)], [True]))
     edges = np.flatnonzero(gaps[1:] != gaps[:-1])
@@ -365,7 +382,8 @@ class _Texts:
         chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("_chunks"))
         dealt = pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("_chunks")))
         wanted = dealt.select("a", "b", "chunk").union(dealt.select("a", F.col("a").alias("b"), "chunk").distinct())
-        texts = wanted.join(self.texts.withColumnRenamed("_v", "b"), "b").select("a", "b", "chunk", "_text")
+        # Texts are small where they are stored and large in memory: they are not to be broadcast.
+        texts = wanted.join(self.texts.withColumnRenamed("_v", "b").hint("merge"), "b").select("a", "b", "chunk", "_text")
         # The hub's own row first: it is the one whose vertices are equal.
         dealt_out = texts.repartition(self.parts, "a", "chunk").sortWithinPartitions(
             "a", "chunk", (F.col("a") != F.col("b")), "b"
@@ -429,8 +447,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Null texts and texts without words have no shingles and are a component each, named by
     their own id. A null id does not name a component unless all its ids are null. Repeated
-    rows are in one component. An empty table gives no rows, other columns are not read. Sets
-    are told apart by a 64-bit hash, as are shingles.
+    rows are in one component. An empty table gives no rows, other columns are not read. Ids
+    are whole numbers, or texts of such; others raise. Sets are told apart by a 64-bit hash,
+    as are shingles.
     """
     texts = _Texts(docs, id_col, text_col)
     classes = texts.classes().select("_v", "_least")

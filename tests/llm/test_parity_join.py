@@ -125,3 +125,13 @@ def test_registered_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, queries.QUERIES["op10_parity_join"](spark, sf).collect()), key=str)
     assert got == brute(rows)
+
+
+def test_words_of_long_texts(monkeypatch):
+    """Pieces end with a word, so long texts have the same hashes."""
+    text = ("Some wörds  of\t a text, " * 300 + "x" * 500 + "\n" + "y z " * 50).encode()
+    whole = P._word_codes(text)
+    for size in (1, 7, 100, 10_000):
+        monkeypatch.setattr(P, "PIECE", size)
+        assert np.array_equal(P._word_codes(text), whole)
+    assert len(whole) == len(text.split())
