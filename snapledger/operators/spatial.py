@@ -154,13 +154,14 @@ def spatial_left_join(
     """All points, with the columns ``take`` ({new name: polygon column}) of every
     polygon they lie strictly inside, or NULLs.
 
-    Nothing runs while the join is defined. Whether the prepared polygon side is broadcast
-    or both sides are shuffled on the cell is left to Spark and its measured sizes.
+    Nothing runs while the join is defined. Both sides are shuffled on the cell. The cells
+    are estimated from the polygons' file, which is far smaller than what is filled from it,
+    and a broadcast once planned is not taken back: every task would hold all cells.
     """
     named = polygons.select(
         *[F.col(c).alias(n) for n, c in take.items()], F.col(geometry).alias("_geometry")
     )
-    cells = polygon_cells(named, "_geometry", list(take), cell)
+    cells = polygon_cells(named, "_geometry", list(take), cell).hint("merge")
     x, y = F.col(point)["lon"], F.col(point)["lat"]
     # Points without coordinates get columns no polygon reaches, many of them, so that
     # a shuffle does not send them all to one task.

@@ -344,6 +344,14 @@ def test_grid_join_equals_brute_force(spark, points, polygons, brute_force, cell
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_cells_are_not_broadcast_on_an_estimate(spark, points, polygons):
+    """Small outlines in a small file fill many cells; no task may hold them all."""
+    got = spatial.spatial_left_join(points, "p", polygons, "g", {"name": "name"}, 0.05)
+    assert got.count() >= points.count()
+    text = plan(got)
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
 def test_inside_cells_need_no_edges(spark):
     square = polygon_text([(0, 0), (10, 0), (10, 10), (0, 10)])
     df = spark.createDataFrame([("a", square)], "name string, t string").select(
