@@ -27,20 +27,25 @@ def left_join(
     there, on both sides. Hot non-NULL keys are left to adaptive execution, which
     splits the left side of a skewed shuffle partition for this join type, given that
     the right side is shuffled as it is: a stored table rather than an aggregate.
+
+    Both sides are shuffled whatever is estimated. The right side is a table that grows like
+    the left one, and the estimate is of its compressed file: a broadcast would go through
+    the driver until the table is too large for it.
     """
     keys = {f"_r{i}": r for i, r in enumerate(on.values())}
     slim = right.select(
         *[F.col(r).alias(k) for k, r in keys.items()],
         *[F.col(c).alias(name) for name, c in take.items()],
     )
-    condition = _all(left[l] == slim[k] for l, k in zip(on, keys))
     if spread_by is not None:
         has_key = _all(F.col(l).isNotNull() for l in on)
         group = F.xxhash64(spread_by)
         left = left.withColumn("_lg", F.when(has_key, F.lit(0)).otherwise(group))
         # Not a plain literal: the optimizer would fold it out of the join key.
         slim = slim.withColumn("_rg", F.when(F.col("_r0").isNotNull(), F.lit(0).cast("bigint")))
-        condition = _all(left[l] == slim[k] for l, k in zip(on, keys))
+    slim = slim.hint("merge")
+    condition = _all(left[l] == slim[k] for l, k in zip(on, keys))
+    if spread_by is not None:
         condition = condition & (left["_lg"] == slim["_rg"])
     return left.join(slim, condition, "left").drop("_lg", "_rg", *keys)
 

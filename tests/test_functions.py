@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from snapledger.functions import calendar as D
 from snapledger.functions import cleanse as C
 from snapledger.functions import geometry as G
-from snapledger.functions.keys import location_key, surrogate_key
+from snapledger.functions.keys import location_key, packed_key, surrogate_key, unpacked_key
 from snapledger.plans import refined
 
 
@@ -198,3 +198,35 @@ def test_morton_key(spark):
         return sum((a >> i & 1) << (2 * i) | (b >> i & 1) << (2 * i + 1) for i in range(26))
 
     assert [r.k for r in df.collect()] == [plain(*s) for s in spots]
+
+
+def test_packed_keys_are_read_back(spark):
+    digest = "0123456789abcdef" * 2
+    texts = [digest, digest.upper(), digest + "\n", digest[:16], "k1", "", "é" * 8, " " * 17, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", packed_key(F.col("t")).alias("p")).select("i", F.length("p").alias("n"), unpacked_key(F.col("p")).alias("t"))
+    found = {r.i: (r.n, r.t) for r in got.collect()}
+    assert [found[i][1] for i in range(len(texts))] == texts
+    assert [i for i in found if found[i][0] == 16] == [0]
+
+
+def test_facts_with_any_keys(spark):
+    """Keys that are no digests, repeated parents and missing keys go through the lookups."""
+    people = spark.createDataFrame(
+        [("p1", "c1", 1), ("p2", "c1", None), ("p3", None, 2), ("p4", None, None), ("p5", "c9", 9)],
+        "person_id string, crash_id string, vehicle_id int",
+    ).withColumns({"driver_vision": F.lit("trees"), "driver_physical_condition": F.lit("normal")})
+    crashes = spark.createDataFrame([("c1", "x"), ("c1", "y"), (None, "z")], "crash_id string, crash_hkey string")
+    vehicles = spark.createDataFrame([(1, "v"), (2, None), (None, "w")], "vehicle_id int, vehicle_hkey string")
+    got = refined.fact_people(people, crashes, vehicles)
+    assert got.columns == [
+        "person_hkey", "person_id", "crash_id", "vehicle_id", "crash_hkey", "vehicle_hkey",
+        "is_vision_obscured", "is_physically_impaired",
+    ]
+    rows = {(r.person_id, r.crash_hkey, r.vehicle_hkey) for r in got.collect()}
+    assert rows == {
+        ("p1", "x", "v"), ("p1", "y", "v"), ("p2", "x", None), ("p2", "y", None), ("p3", None, None),
+        ("p4", None, None), ("p5", None, None),
+    }
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in text and "driver_vision" not in text.split("Join")[0]

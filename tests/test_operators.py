@@ -121,6 +121,14 @@ def test_left_join_keeps_all_and_matches_no_nulls(spark, threshold):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_parent_table_is_not_broadcast_on_an_estimate(spark):
+    left = spark.range(100).select("id", F.col("id").alias("k"))
+    right = spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    joined = joins.left_join(left, right, {"k": "k"}, {"v": "v"}, spread_by="id")
+    assert joined.where("v = 1").count() == 50
+    assert "BroadcastHashJoin" not in plan(joined)
+
+
 def test_location_row_without_coordinates_never_matches(spark):
     crash = spark.createDataFrame([(1, None, None), (2, 1.0, 2.0)], "id int, x double, y double")
     dim = spark.createDataFrame([(None, None, "n"), (1.0, 2.0, "p")], "x double, y double, h string")
