@@ -107,6 +107,33 @@ def test_replaced_snapshots_are_counted_again(spark, tables, monkeypatch):
     assert {d for _, d in seen} == {DATES[0]}
 
 
+def test_snapshots_are_read_for_the_checks_that_are_wanted_alone(spark, tables, monkeypatch):
+    results(spark, tables)
+    asked, read = [], history._snapshots
+
+    def recording(spark, path, dates, columns, known):
+        asked.append((os.path.basename(path), tuple(dates), tuple(columns)))
+        return read(spark, path, dates, columns, known)
+
+    monkeypatch.setattr(history, "_snapshots", recording)
+    deliver(spark, tables[0], "child", DATES[1], [("a", "x"), ("a", "x"), (None, "gone")])
+    deliver(spark, tables[0], "parent", DATES[0], [("z",)])
+    assert results(spark, tables) == whole(spark, tables[0])
+    ids = [dates for name, dates, columns in asked if name == "child" and "id" in columns]
+    assert ids == [(DATES[1],)], asked
+
+
+def test_references_are_counted_without_a_join(spark, tables):
+    rows = spark.createDataFrame(
+        [("d1", "x"), ("d1", "x"), ("d1", "y"), ("d2", "x"), ("d1", None)], "snapshot string, ref string"
+    )
+    parents = spark.createDataFrame([("d1", "x"), ("d1", "x"), ("d2", "z"), ("d2", None)], "snapshot string, key string")
+    check = checks.Check("child", "relationships", "ref", "parent", "key")
+    got = history._references(rows, parents, check)
+    assert {(r.snapshot, r.failures) for r in got.collect()} == {("d1", 1), ("d2", 1)}
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_new_check_is_counted_for_old_snapshots(spark, tables):
     first = history.history_results(spark, tables[0], CHECKS[:1], tables[1])
     assert first == [("child", "not_null", "id", 2)]
