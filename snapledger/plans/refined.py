@@ -86,6 +86,11 @@ def dim_location_enriched(
 ) -> DataFrame:
     """Locations with the ward and the neighborhood around them. A location without
     one stays, a location in several overlapping ones is repeated."""
+    # Digests in half the bytes, before rows travel.
+    locations, wards, neighborhoods = (
+        df.withColumn(key, packed_key(F.col(key)))
+        for df, key in ((locations, "location_hkey"), (wards, "ward_hkey"), (neighborhoods, "neighborhood_hkey"))
+    )
     with_ward = spatial_left_join(
         locations,
         "location_point",
@@ -103,13 +108,13 @@ def dim_location_enriched(
         cell,
     )
     return with_both.select(
-        "location_hkey",
+        unpacked_key(F.col("location_hkey")).alias("location_hkey"),
         "location_point",
         "longitude",
         "latitude",
-        "ward_hkey",
+        unpacked_key(F.col("ward_hkey")).alias("ward_hkey"),
         "ward_id",
-        "neighborhood_hkey",
+        unpacked_key(F.col("neighborhood_hkey")).alias("neighborhood_hkey"),
         "neighborhood",
     )
 
@@ -184,15 +189,16 @@ def fact_crash(
 
 def fact_vehicle(vehicle: DataFrame, crashes: DataFrame) -> DataFrame:
     """One row per staged vehicle and fact row of its crash."""
+    # 'none' sets the defect flag and any named defect clears it: kept as it is.
+    defect = C.category_flag(F.col("vehicle_defect"), NO_VEHICLE_DEFECT, clear_is=True)
     keyed = left_join(
-        vehicle,
+        # The flag instead of the text, before rows travel.
+        vehicle.withColumn("is_vehicle_defect", defect),
         _packed(crashes, "crash_id", "crash_hkey"),
         {"crash_id": "crash_id"},
         {"crash_hkey": "crash_hkey"},
         spread_by="crash_vehicle_id",
     ).withColumn("crash_hkey", unpacked_key(F.col("crash_hkey")))
-    # 'none' sets the defect flag and any named defect clears it: kept as it is.
-    defect = C.category_flag(F.col("vehicle_defect"), NO_VEHICLE_DEFECT, clear_is=True)
     return keyed.select(
         surrogate_key("crash_vehicle_id", "crash_hkey", "vehicle_id").alias("vehicle_hkey"),
         "crash_vehicle_id",
@@ -205,7 +211,7 @@ def fact_vehicle(vehicle: DataFrame, crashes: DataFrame) -> DataFrame:
         C.sentinel_to_null(F.col("vehicle_model"), "unknown").alias("vehicle_model"),
         "license_plate_state",
         "vehicle_year_number",
-        defect.alias("is_vehicle_defect"),
+        "is_vehicle_defect",
         "vehicle_type",
         C.sentinel_to_null(F.col("vehicle_use_code"), "unknown/na").alias("vehicle_use_code"),
         C.sentinel_to_null(F.col("vehicle_maneuver"), "unknown/na").alias("vehicle_maneuver"),

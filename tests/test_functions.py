@@ -10,7 +10,7 @@ from snapledger.functions import calendar as D
 from snapledger.functions import cleanse as C
 from snapledger.functions import geometry as G
 from snapledger.functions.keys import location_key, packed_key, surrogate_key, unpacked_key
-from snapledger.plans import refined
+from snapledger.plans import refined, staging
 
 
 def apply(spark, values, dtype, function):
@@ -230,3 +230,36 @@ def test_facts_with_any_keys(spark):
     }
     text = got._jdf.queryExecution().optimizedPlan().toString()
     assert "unhex" in text and "driver_vision" not in text.split("Join")[0]
+
+
+def test_vehicle_flag_travels_instead_of_the_text(spark):
+    names = [t for _, t, _ in staging.VEHICLE if t not in ("crash_id", "crash_vehicle_id", "vehicle_defect", "partition_date")]
+    vehicles = spark.createDataFrame(
+        [("v1", "c1", "None"), ("v2", "c1", "BRAKES"), ("v3", None, None)],
+        "crash_vehicle_id string, crash_id string, vehicle_defect string",
+    ).withColumns({**{n: F.lit(None).cast("string") for n in names}, "partition_date": F.lit(None).cast("date")})
+    crashes = spark.createDataFrame([("c1", "x")], "crash_id string, crash_hkey string")
+    got = refined.fact_vehicle(vehicles, crashes)
+    assert {(r.crash_vehicle_id, r.crash_hkey, r.is_vehicle_defect) for r in got.collect()} == {
+        ("v1", "x", True), ("v2", "x", False), ("v3", None, None)
+    }
+    assert "vehicle_defect#" not in got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0].replace("is_vehicle_defect#", "")
+
+
+def test_locations_with_any_keys(spark):
+    """Keys of places are digests in half the bytes while they travel, any other text is kept."""
+    keys = ["0123456789abcdef" * 2, "k1", "", None]
+    places = spark.createDataFrame(
+        [(k, {"lon": 0.5, "lat": 0.5}, 0.5, 0.5) for k in keys],
+        "location_hkey string, location_point struct<lon: double, lat: double>, longitude double, latitude double",
+    )
+    ring = '{"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]}'
+    shape = G.polygon_from_geojson(F.lit(ring), strict=True)
+    wards = spark.range(1).select(F.lit("w").alias("ward_hkey"), F.lit(1).alias("ward_id"), shape.alias("ward_geometry"))
+    hoods = spark.range(1).select(
+        F.lit("n").alias("neighborhood_hkey"), F.lit("N").alias("neighborhood"), shape.alias("neighborhood_geometry")
+    )
+    got = refined.dim_location_enriched(places, wards, hoods, 0.25)
+    found = {(r.location_hkey, r.ward_hkey, r.neighborhood_hkey, r.ward_id, r.neighborhood) for r in got.collect()}
+    assert found == {(k, "w", "n", 1, "N") for k in keys}
+    assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()

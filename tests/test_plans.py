@@ -82,3 +82,21 @@ def test_checks_read_a_model_once(spark):
     wanted = [c for c in checks.SOURCE_CHECKS if c.model in frames]
     text = checks.report(frames, wanted)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation [") == 3 + 2 * 2, text
+
+
+def test_exported_marts_are_built_from_exported_ones(spark, monkeypatch):
+    """No mart is computed a second time for the one that hangs on it."""
+    from snapledger.plans import marts
+
+    frames, export = {}, marts.export
+    monkeypatch.setattr(marts, "export", lambda f, root: [frames.update(f), export(f, root)][1])
+    entry.QUERIES["mart_export"](spark, SF)
+    assert set(frames) == set(marts.MARTS)
+
+    def read(mart):
+        return {m for m in marts.MARTS for path in frames[mart].inputFiles() if f"/{m}/part-" in path}
+
+    assert read("fact_vehicle") == {"fact_crash"}
+    assert read("fact_people") == {"fact_crash", "fact_vehicle"}
+    joins = {m: f._jdf.queryExecution().optimizedPlan().toString().count("Join ") for m, f in frames.items()}
+    assert (joins["fact_vehicle"], joins["fact_people"]) == (1, 2)

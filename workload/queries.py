@@ -46,27 +46,34 @@ def staged(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return staging.stage(I.raw(spark, sf, name), name)
 
 
-def refined_frames(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
-    """The refined models of the last snapshot, unsaved."""
+def refined_frames(
+    spark: SparkSession,
+    sf: str,
+    *names: str,
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+) -> dict[str, DataFrame]:
+    """The refined models of the last snapshot, unsaved. With ``store`` (name, frame) -> stored
+    frame, the dimensions and facts wanted are stored, and each fact is built from stored ones."""
     crash = staged(spark, sf, "crash")
     out = {}
     if "refined_dim_datetime" in names:
-        out["refined_dim_datetime"] = refined.dim_datetime(crash)
+        out["refined_dim_datetime"] = store("refined_dim_datetime", refined.dim_datetime(crash))
     if "refined_dim_location" in names or "refined_dim_location_enriched" in names:
         out["refined_dim_location"] = refined.dim_location(crash)
     if "refined_dim_location_enriched" in names:
         out["refined_ward"] = refined.ward(staged(spark, sf, "ward"))
         out["refined_neighborhood"] = refined.neighborhood(staged(spark, sf, "neighborhood"))
-        out["refined_dim_location_enriched"] = refined.dim_location_enriched(
+        enriched = refined.dim_location_enriched(
             out["refined_dim_location"], out["refined_ward"], out["refined_neighborhood"], I.CELL
         )
-    crashes = out["refined_fact_crash"] = refined.fact_crash(crash)
+        out["refined_dim_location_enriched"] = store("refined_dim_location_enriched", enriched)
+    crashes = out["refined_fact_crash"] = store("refined_fact_crash", refined.fact_crash(crash))
     if "refined_fact_vehicle" in names or "refined_fact_people" in names:
-        vehicles = refined.fact_vehicle(staged(spark, sf, "vehicle"), crashes)
+        vehicles = store("refined_fact_vehicle", refined.fact_vehicle(staged(spark, sf, "vehicle"), crashes))
         out["refined_fact_vehicle"] = vehicles
     if "refined_fact_people" in names:
-        people = staged(spark, sf, "people")
-        out["refined_fact_people"] = refined.fact_people(people, crashes, vehicles)
+        people = refined.fact_people(staged(spark, sf, "people"), crashes, vehicles)
+        out["refined_fact_people"] = store("refined_fact_people", people)
     return out
 
 
@@ -1116,12 +1123,19 @@ for _mart, _source in marts.MARTS.items():
     ),
 )
 def mart_export(spark, sf):
-    """All rows and columns of the five marts, read back from the exported files."""
-    frames = marts.marts(refined_frames(spark, sf, *marts.MARTS.values()))
-    paths = marts.export(frames, shared_dir(spark, "marts"))
+    """All rows and columns of the five marts, read back from the exported files. A mart is
+    exported before the next one is built from it, so that none is computed twice."""
+    root = shared_dir(spark, "marts")
+    names = {source: mart for mart, source in marts.MARTS.items()}
+
+    def export(source: str, df: DataFrame) -> DataFrame:
+        mart = names[source]
+        return spark.read.parquet(marts.export({mart: df}, root)[mart])
+
+    frames = marts.marts(refined_frames(spark, sf, *names, store=export))
     out = None
-    for mart, path in paths.items():
-        rows = spark.read.parquet(path).withColumn("mart", F.lit(mart))
+    for mart, rows in frames.items():
+        rows = rows.withColumn("mart", F.lit(mart))
         rows = flat_point(rows) if "location_point" in rows.columns else rows
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
