@@ -19,8 +19,12 @@ def require_unique(df: DataFrame, key: str) -> None:
 
 def kept_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target rows the source does not replace. Only the keys of the source travel;
-    a NULL key matches nothing, so such rows stay."""
-    return target.join(source.select(key), key, "left_anti").select(*target.columns)
+    a NULL key matches nothing, so such rows stay.
+
+    Both sides are shuffled whatever is estimated. The source grows like the target, and the
+    estimate is of its compressed file: a broadcast would bring all keys to the driver.
+    """
+    return target.join(source.select(key).hint("merge"), key, "left_anti").select(*target.columns)
 
 
 def upsert(target: DataFrame | None, source: DataFrame, key: str) -> DataFrame:

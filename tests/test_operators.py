@@ -436,6 +436,14 @@ def test_upsert_with_a_new_column(spark):
     assert rows(upsert.upsert(target, source, "k")) == [("a", 1, None), ("b", 3, "n")]
 
 
+def test_keys_of_a_merge_are_not_broadcast_on_an_estimate(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    source = spark.createDataFrame([("b", 4), (None, 5)], "k string, v int")
+    kept = upsert.kept_rows(target, source, "k")
+    assert rows(kept) == [("a", 1), (None, 3)]
+    assert "BroadcastHashJoin" not in plan(kept)
+
+
 def test_duplicate_source_keys_raise(spark):
     source = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
     with pytest.raises(upsert.DuplicateKeys):
