@@ -1,6 +1,7 @@
 """The batch job over three run dates of small hand-made feeds."""
 
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +142,38 @@ def test_locations_get_their_boundaries(builds):
     ]
 
 
+def test_the_boundary_join_runs_once(spark, builds):
+    """Its rows are stored before they are checked and shown, those of this run alone."""
+    root, _, _, second = builds
+    places = second.marts["dim_location"]
+    assert "Join" not in places._jdf.queryExecution().optimizedPlan().toString()
+    stored = tables.read_version(spark, f"{root}/refined/refined_dim_location_enriched")
+    assert values(stored, "location_hkey", "ward_id") == values(places, "location_hkey", "ward_id")
+    assert places.count() == places.select("location_hkey").distinct().count() == 4
+
+
+def test_all_feeds_are_written_at_once(spark, monkeypatch):
+    """Before the first run, each by a job that does not wait for the others."""
+    from workload import inputs, queries
+
+    together, written = threading.Barrier(8, timeout=60), []
+
+    def write(spark, sf, name, path, date=None):
+        together.wait()
+        written.append((name, date))
+        return path
+
+    def run(spark, date, paths, *_, **__):
+        assert len(written) == 8
+        assert paths["ward"].endswith("feeds/ward") and paths["crash"].endswith(f"feeds/{date}/crash")
+        return sorted(paths)
+
+    monkeypatch.setattr(inputs, "write_csv_feed", write)
+    monkeypatch.setattr(inputs, "write_geojson_feed", write)
+    monkeypatch.setattr(job, "run", run)
+    assert len(queries._job(spark, "sf", queries.RUNS)) == 5
+
+
 def test_corrected_crash_keeps_its_old_row(builds):
     second = builds[3]
     got = values(second.marts["fact_crash"], "crash_id", F.col("partition_date").cast("string"))
