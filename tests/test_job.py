@@ -1,13 +1,17 @@
 """The batch job over three run dates of small hand-made feeds."""
 
 import json
+import os
 import threading
+import time
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from snapledger import session
 from snapledger.operators.upsert import DuplicateKeys
-from snapledger.plans import checks, job, marts, reports
+from snapledger.plans import checks, job, marts, refined, reports, staging
 from snapledger.sources import tables
 
 CRASH_COLUMNS = (
@@ -174,6 +178,59 @@ def test_all_feeds_are_written_at_once(spark, monkeypatch):
     assert len(queries._job(spark, "sf", queries.RUNS)) == 5
 
 
+def test_steps_free_their_shuffles(spark, tmp_path, monkeypatch):
+    """Every table is written with the setting on, also people with their vehicles alone, no
+    frame that is returned needs a shuffle, and the session is left as it was."""
+    seen, write = [], DataFrameWriter.parquet
+    freed = lambda: spark.conf.get(session.SHUFFLES_FREED, None)
+
+    def written(self, path, *args, **options):
+        seen.append((path, freed()))
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", written)
+    before = freed()
+    build = job.run(spark, "2024-01-08", feed_paths(tmp_path, [C1, C2]), str(tmp_path / "w"), cell=0.25)
+    assert freed() == before != "true"
+    tables_written = [(p, on) for p, on in seen if "/refined/" in p or "/people-" in p]
+    assert len(tables_written) == 9 and all(on == "true" for _, on in tables_written)
+    for frame in [*build.refined.values(), *build.marts.values()]:
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffles_of_a_finished_query_are_freed(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [f.toString() for f in env.blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        return {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before = shuffles()
+    with session.shuffles_freed(spark):
+        frame = spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count()
+        frame.write.format("noop").mode("overwrite").save()
+        assert spark.range(1000).repartition(5, "id").where("id >= 0").collect()
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert frame.count() == 1000
+
+
+def test_people_are_stored_between_their_two_joins(spark, builds):
+    second, stored = builds[3], []
+    people = staging.rename_and_type(second.raw["people"], "people")
+    parents = second.refined["refined_fact_crash"], second.refined["refined_fact_vehicle"]
+
+    def store(rows):
+        stored.append(rows)
+        return rows
+
+    got = refined.fact_people(people, *parents, store)
+    assert "vehicle_hkey" in stored[0].columns and "crash_hkey" not in stored[0].columns
+    assert values(got, *got.columns) == values(refined.fact_people(people, *parents), *got.columns)
+
+
 def test_corrected_crash_keeps_its_old_row(builds):
     second = builds[3]
     got = values(second.marts["fact_crash"], "crash_id", F.col("partition_date").cast("string"))
